@@ -9,6 +9,8 @@ similarity as probability, and their mean concentrates like that of independent
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -78,21 +80,20 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     )
 
 
-def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, share: int = 64) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union.
+def verify(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int, share: int = 64) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union. texts_of(ids): (id, text) of those ids.
 
     The partners of one text are dealt out in lots of about `share`, each with its own copy of that text, so that a text with
     very many partners is spread over tasks; a task holds the set of one such text and one Arrow batch at a time.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = pairs.schema["a"].dataType.simpleString()
     fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("lots"))
     dealt = pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b")
     roles = dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role")).union(
         dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # what is dealt next, with the text at hand; a lot's first text leads
-    lots = roles.join(texts, "id").repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "id")
+    # a lot's first text leads
+    lots = roles.join(texts_of(roles.select("id").distinct()), "id").repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "id")
 
     def run(batches):
         lead, of = [], None
@@ -107,30 +108,61 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int
                 if role[i] == 0:
                     lead.append(own.copy())
                     continue
-                for other in lead:
-                    if 100 * min(len(own), len(other)) < percent * max(len(own), len(other)) or not len(own):
-                        continue
-                    found = np.searchsorted(other, own)
-                    both = int((other[np.minimum(found, len(other) - 1)] == own).sum())
-                    if 100 * both >= percent * (len(own) + len(other) - both):
-                        good_a.append(a[i])
-                        good_b.append(ids[i])
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(good_a, batch.column(0).type), pa.array(good_b, batch.column(0).type)], ["a", "b"])
+                if any(similar(own, other, percent) for other in lead):
+                    good_a.append(a[i])
+                    good_b.append(ids[i])
+            yield pa.RecordBatch.from_arrays([pa.array(good_a, batch.column(1).type), pa.array(good_b, batch.column(3).type)], ["a", "b"])
 
     return lots.select("a", "lot", "role", "id", "text").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets, sorted, have 100 * intersection >= percent * union. Empty sets are like nothing."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def link_classes(classes: DataFrame, test: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(links, components) among classes (rep, bands); test(pairs) gives those pairs (a, b) that are links.
+
+    Candidates share a band. In a bucket, one member after another serves as centre for all members that are not yet in its
+    component: first the least one, which buckets of one group have in common, then 8 times as many in each round, until no
+    bucket holds two components with untested members. So each candidate pair is tested or already in one component, and a
+    bucket of copies costs one test for each member. Nothing is capped.
+    """
+    members = classes.select("rep", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
+    left = materialize(members.join(shared.select("bucket", "least"), "bucket").distinct())
+    lead = left.groupBy("bucket").agg(F.min("rep").alias("centre"))
+    tests = left.filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    links, centres = None, 1
+    while True:
+        found = materialize(test(materialize(tests.distinct())))
+        links = found if links is None else links.union(found)
+        labels = materialize(connected_components(links))
+        # a centre has met its whole bucket
+        rest = left.select("bucket", "rep").join(lead.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti")
+        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        left = materialize(rest.join(mixed.select("bucket"), "bucket").select("bucket", "rep", "component"))
+        if left.isEmpty():
+            return links, labels
+        centres *= 8
+        order = Window.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
+        lead = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= centres)
+        lead = lead.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("of"))
+        tests = left.join(lead, "bucket").filter("component <> of").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """(id, n_shingles, component): each row's set size and the smallest id that links lead to.
 
     Words are lower-cased (A-Z); two texts are linked if 100 * intersection >= percent * union of their k-word shingle sets.
-    Texts with equal sets are one class from the start and are never paired. Candidates are classes that share a band. In a
-    bucket, one member after another serves as centre for all members that are not yet in its component: first one, then 8
-    times as many in each round, until no bucket holds two components with untested members. So every candidate pair is
-    tested or already in one component, and a bucket of copies costs one test for each member. Nothing is capped.
+    Texts with equal sets are one class from the start and are never paired; see link_classes for the others.
 
     Null, empty or blank text: size 0, linked with nothing. Null id: its row is kept, size given, component null. Rows that
     repeat an id are one node, linked by any of their texts. An empty table gives an empty result; extra columns are ignored.
@@ -141,39 +173,14 @@ def near_duplicates(
     key = ["n_shingles", "f1", "f2"]
     classes = sets.groupBy(*key).agg(F.min("id").alias("rep"))
     lone = classes.join(sets.withColumnRenamed("id", "rep"), [*key, "rep"]).dropDuplicates([*key, "rep"])
-    members = lone.select("rep", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
-    left = materialize(members.join(shared.select("bucket"), "bucket").distinct())
-
-    twins = sets.join(classes, key).filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    links, labels, centres = None, None, 1
-    while True:
-        if labels is None:
-            # the least member leads each bucket, so that buckets of one group share their centre
-            lead = left.groupBy("bucket").agg(F.min("rep").alias("centre"))
-            tests = left.join(lead, "bucket").filter("rep <> centre")
-        else:
-            order = Window.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
-            lead = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= centres)
-            lead = lead.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("of"))
-            tests = left.join(lead, "bucket").filter("component <> of")
-        pairs = tests.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")) if labels is not None else tests.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-        found = materialize(verify(materialize(pairs.distinct()), docs, id_col, text_col, k, percent))
-        links = found if links is None else links.union(found)
-        labels = materialize(connected_components(links))
-        # a centre has met its whole bucket
-        rest = left.select("bucket", "rep").join(lead.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti")
-        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        left = materialize(rest.join(mixed.select("bucket"), "bucket").select("bucket", "rep", "component"))
-        if left.isEmpty():
-            break
-        centres *= 8
-
-    # an id that stands for one class may be a member of another when rows repeat an id with different texts
-    over = connected_components(twins.join(classes.select(F.col("rep").alias("b")), "b", "left_semi").union(links)) if _repeats(sets) else labels
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    links, labels = link_classes(lone, lambda pairs: verify(pairs, lambda ids: texts.join(ids, "id"), k, percent))
+    if _repeats(sets):
+        # an id that stands for one class is a member of another too
+        twins = sets.join(classes, key).select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        labels = connected_components(twins.union(links))
     tagged = made.join(classes, key, "left")
-    tagged = tagged.join(over.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")))
+    tagged = tagged.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")))
     return tagged.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 

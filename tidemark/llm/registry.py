@@ -1,6 +1,22 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
+from tidemark.llm.mixing import op3_mixing
 from tidemark.llm.near_dedup import op4_minhash
+from tidemark.llm.packing import op1_packing
+from tidemark.llm.quality_classifier import op6_quality_classifier
+from tidemark.llm.quality_rules import op5_quality_rules
+from tidemark.llm.secrets import op7_secrets
+from tidemark.llm.substring_dedup import op10_substring_dedup
+from tidemark.llm.top_k import OP8_SQL, op8_top_k
+from tidemark.llm.toxicity import op9_toxicity
+from tidemark.llm.url_filter import op2_url_filter
 
-QUERIES = {"op4_minhash": op4_minhash}
-SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing, op2_url_filter, op3_mixing, op4_minhash, op5_quality_rules, op6_quality_classifier, op7_secrets, op8_top_k, op9_toxicity,
+        op10_substring_dedup,
+    )
+}
+
+SQL = {"op8_top_k": OP8_SQL}

@@ -101,11 +101,11 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 class Words:
     """The words of a batch: hash, start and end of each (bytes of `data`), and `at`, where the words of each text begin."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, space: np.ndarray = SPACE):
         raw, self.text_at = utf8(column)
         self.raw = raw
         self.data = LOWER[raw] if lower else raw
-        self.starts, self.ends = spans(~SPACE[raw], self.text_at)
+        self.starts, self.ends = spans(~space[raw], self.text_at)
         self.hash = hash_spans(self.data, self.starts, self.ends)
         self.at = np.searchsorted(self.starts, self.text_at)
         self.n = np.diff(self.at)
