@@ -16,6 +16,9 @@ from tidemark.llm.textkit import Words
 #: Buckets of hashed words, and the length of each feature's vector.
 WIDTH, RANK = 1 << 14, 8
 
+#: Numbers that are counted in a text.
+STATS = 9
+
 
 def inputs(column: pa.Array) -> Sparse:
     """Words first, with a length of one together; then the statistics, which depend on the text alone."""
@@ -85,7 +88,7 @@ class Machine:
 
 def learn(texts: pa.Array, labels: np.ndarray, epochs: int = 4, seed: int = 6) -> Machine:
     x, y = inputs(texts), (labels[:, 0] == 1).astype(np.float32)
-    return Machine(int(WIDTH + 10), RANK, seed).fit(x, y, epochs, 128, 0.1, 1e-5, seed)
+    return Machine(WIDTH + STATS, RANK, seed).fit(x, y, epochs, 128, 0.1, 1e-5, seed)
 
 
 def score_quality(

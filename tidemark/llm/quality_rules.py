@@ -1,7 +1,7 @@
 """Quality rules: statistics of whole texts, two hard limits, and an isolation forest over the statistics.
 
-The forest is grown on the statistics of labelled rows (a bounded sample of them, `trees * sample` rows at most); the cut on its
-score is calibrated on all labelled rows, through a histogram of scores.
+The forest is grown on the statistics of a bounded sample of labelled rows; the cut on its score is calibrated on all labelled
+rows, through a histogram of scores.
 """
 
 from __future__ import annotations
@@ -99,55 +99,52 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def features(rows: pd.DataFrame) -> np.ndarray:
-    """Rates that don't depend on a text's length; rare events on a root scale, so that splits can fall among small rates."""
+    """Rates that don't depend on a text's length, on scales that spread out the small ones. Digits don't tell junk from text."""
     words, chars = np.maximum(rows["n_words"].to_numpy(float), 1), np.maximum(rows["word_chars"].to_numpy(float), 1)
     lines = np.maximum(rows["n_lines"].to_numpy(float), 1)
-    rate = lambda c, by: np.sqrt(rows[c].to_numpy(float) / by)
-    return np.column_stack([
-        rate("n_symbols", words), rate("n_dup_lines", lines), rate("n_repeat_words", words), rate("n_upper", chars), rate("n_marks", words), rate("n_digits", chars),
-    ])
+    wide = lambda c, by: np.log1p(20 * rows[c].to_numpy(float) / by)
+    root = lambda c, by: np.sqrt(rows[c].to_numpy(float) / by)
+    return np.column_stack([wide("n_symbols", words), wide("n_marks", words), root("n_dup_lines", lines), root("n_repeat_words", words), root("n_upper", chars)])
 
 
 class Forest:
-    """Isolation trees as arrays; a tree splits a random feature at a random point between the least and greatest of its rows."""
+    """Isolation trees over sound rows, as arrays. A tree splits a random feature at a random point of its node's box.
 
-    def __init__(self, rows: np.ndarray, trees: int, sample: int, seed: int):
+    The boxes begin as the range of all labelled rows, sound or not, so that splits also fall where no sound row lies: a row
+    there is soon alone and has a short path. Sound rows stay together down to the greatest depth.
+    """
+
+    def __init__(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int, sample: int, seed: int):
         rng = np.random.default_rng(seed)
-        self.trees = []
         self.size = min(sample, len(rows))
-        depth = int(np.ceil(np.log2(max(self.size, 2)))) + 4
-        for _ in range(trees):
-            self.trees.append(self._grow(rows[rng.choice(len(rows), self.size, replace=False)], depth, rng))
+        self.depth = 2 * int(np.ceil(np.log2(max(self.size, 2))))
+        self.trees = [self._grow(rows[rng.choice(len(rows), self.size, replace=False)], low, high, rng) for _ in range(trees)]
 
     @staticmethod
     def _rest(n: float) -> float:
         """The mean path length of an unsuccessful search among n."""
         return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
-    def _grow(self, rows: np.ndarray, depth: int, rng) -> tuple[np.ndarray, ...]:
+    def _grow(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray, rng) -> tuple[np.ndarray, ...]:
         feature, split, left, length = [], [], [], []
-        waiting = [(rows, 0)]
+        waiting = [(rows, low, high, 0)]
         while waiting:
-            rows, level = waiting.pop(0)
-            low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (np.zeros(1), np.zeros(1))
+            rows, low, high, level = waiting.pop(0)
             open_ = np.flatnonzero(high > low)
-            if len(rows) <= 1 or level >= depth or not len(open_):
-                # a side without rows ends here too: what falls into it is cut off at once
+            if len(rows) <= 1 or level >= self.depth or not len(open_):
                 feature.append(-1)
                 split.append(0.0)
                 left.append(-1)
                 length.append(level + self._rest(len(rows)))
                 continue
-            f = rng.choice(open_)
-            # splits may fall a little beyond the rows' range, so that what lies outside of it is cut off early
-            margin = 0.5 * (high[f] - low[f]) + 0.02
-            at = rng.uniform(low[f] - margin, high[f] + margin)
-            feature.append(int(f))
+            f = int(rng.choice(open_))
+            at = rng.uniform(low[f], high[f])
+            feature.append(f)
             split.append(at)
             left.append(len(feature) + len(waiting))
             length.append(0.0)
-            below = rows[:, f] < at
-            waiting += [(rows[below], level + 1), (rows[~below], level + 1)]
+            below, mid = rows[:, f] < at, np.arange(len(low)) == f
+            waiting += [(rows[below], low, np.where(mid, at, high), level + 1), (rows[~below], np.where(mid, at, low), high, level + 1)]
         return np.array(feature), np.array(split), np.array(left), np.array(length)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -188,17 +185,18 @@ def calibrate(
 ) -> Judge:
     """A judge for rows of statistics().
 
-    The forest is grown on at most `bound` rows labelled 1 (those whose ids hash lowest) and learns where sound texts lie. The
+    The forest is grown on at most `bound` labelled rows (those whose ids hash lowest) and learns where those of label 1 lie. The
     cut is the lowest with which at least `keep_share` of all labelled rows of label 1 that pass the base rule are kept.
     Without such rows the base rule alone decides.
     """
-    good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
-    sound = counts.join(good, "id").filter((F.col("n_words") >= 10) & (100 * F.col("n_repeat_words") <= 20 * F.col("n_words")))
-    sound = materialize(sound)
-    taught = sound.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(bound).toPandas()
-    if not len(taught):
+    told = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.min(label_col) == 1).alias("good"))
+    told = materialize(counts.join(told, "id").filter((F.col("n_words") >= 10) & (100 * F.col("n_repeat_words") <= 20 * F.col("n_words"))))
+    sound = told.filter("good").drop("good")
+    taught = told.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(bound).toPandas()
+    if not taught["good"].any():
         return Judge(None, STEPS)
-    judge = Judge(Forest(features(taught), trees, sample, seed), STEPS)
+    seen = features(taught)
+    judge = Judge(Forest(seen[taught["good"].to_numpy(bool)], seen.min(axis=0), seen.max(axis=0), trees, sample, seed), STEPS)
     bins = verdicts(sound, judge).select(F.ceil(F.col("score") * STEPS).alias("bin")).groupBy("bin").count().orderBy("bin").toPandas()
     share = bins["count"].cumsum() / bins["count"].sum()
     judge.cut = int(bins["bin"][int((share >= keep_share).to_numpy().argmax())])
