@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -124,36 +124,113 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def link_classes(classes: DataFrame, test: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(links, components) among classes (rep, bands); test(pairs) gives those pairs (a, b) that are links.
+#: Texts of one bucket that a task compares at a time are at most about twice so many.
+BLOCK = 500
+
+
+class Sets:
+    """Joining sets into groups: find and merge."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def merge(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def link_within(sets: list[np.ndarray], groups: list, percent: int) -> list[tuple[int, int]]:
+    """Links that join the given groups as far as similar sets do: every pair that is not in one group by then has been compared."""
+    if len(sets) < 2:
+        return []
+    first: dict = {}
+    joined = Sets(len(sets))
+    for i, g in enumerate(groups):
+        joined.merge(first.setdefault(g, i), i)
+    n = np.array([len(s) for s in sets])
+    at = np.concatenate([[0], np.cumsum(n)])
+    kinds, of = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, links = np.zeros(len(kinds), np.int64), []
+    for i in range(len(sets) - 1):
+        later = np.array([joined.find(j) for j in range(i + 1, len(sets))]) != joined.find(i)
+        if not later.any():
+            continue
+        own = of[at[i] : at[i + 1]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[of[at[i + 1] :]], at[i + 1 : -1] - at[i + 1])
+        mark[own] = 0
+        for j in np.flatnonzero(later & (100 * both >= percent * (n[i] + n[i + 1 :] - both))) + i + 1:
+            if joined.merge(i, int(j)):
+                links.append((i, int(j)))
+    return links
+
+
+def settle(left: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components of left (bucket, rep, component): all pairs of a bucket are compared on their full sets.
+
+    The comparison happens inside tasks and gives one link at most for two components that meet. A bucket of more than 1000
+    members is cut into blocks of about 500, and each two blocks are a task of their own.
+    """
+    kind = left.schema["rep"].dataType.simpleString()
+    blocks = left.groupBy("bucket").agg(F.when(F.count("*") > 2 * BLOCK, F.ceil(F.count("*") / BLOCK)).otherwise(1).alias("m"))
+    lots = f"""if(m = 1, array(0L), transform(filter(sequence(0L, m - 1), x -> x <> pmod(xxhash64(rep), m)),
+               x -> least(x, pmod(xxhash64(rep), m)) * m + greatest(x, pmod(xxhash64(rep), m))))"""
+    dealt = left.join(blocks, "bucket").select("bucket", F.explode(F.expr(lots)).alias("lot"), "rep", "component")
+    texts = texts_of(left.select(F.col("rep").alias("id")).distinct())
+    rows = dealt.join(texts, F.col("rep") == F.col("id")).repartition("bucket", "lot").sortWithinPartitions("bucket", "lot", "rep")
 
-    Candidates share a band. In a bucket, one member after another serves as centre for all members that are not yet in its
-    component: first the least one, which buckets of one group have in common, then 8 times as many in each round, until no
-    bucket holds two components with untested members. So each candidate pair is tested or already in one component, and a
-    bucket of copies costs one test for each member. Nothing is capped.
+    def run(batches):
+        of, sets, groups, reps, schema = None, [], [], [], None
+        for batch in batches:
+            schema = batch.schema
+            values, at = shingles(batch.column(4), k)
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            rep, component = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            a, b = [], []
+            for i, key in enumerate(keys):
+                if key != of:
+                    found = link_within(sets, groups, percent)
+                    a += [reps[x] for x, _ in found]
+                    b += [reps[y] for _, y in found]
+                    of, sets, groups, reps = key, [], [], []
+                if at[i + 1] > at[i]:
+                    sets.append(values[at[i] : at[i + 1]].copy())
+                    groups.append(component[i])
+                    reps.append(rep[i])
+            yield pa.RecordBatch.from_arrays([pa.array(a, schema.field(2).type), pa.array(b, schema.field(2).type)], ["a", "b"])
+        if sets:
+            found = link_within(sets, groups, percent)
+            yield pa.RecordBatch.from_arrays([pa.array([reps[x] for x, _ in found], schema.field(2).type), pa.array([reps[y] for _, y in found], schema.field(2).type)], ["a", "b"])
+
+    return rows.select("bucket", "lot", "rep", "component", "text").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def link_classes(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, components) among classes (rep, bands) whose texts are texts_of(ids).
+
+    Candidates share a band. First the least member of each bucket, which buckets of one group have in common, is compared with
+    all others of its bucket; that joins most of what belongs together at one comparison a member. Then the buckets that still
+    hold two components or more are settled pair by pair. So each candidate pair is compared or in one component; none is dropped.
     """
     members = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
     left = materialize(members.join(shared.select("bucket", "least"), "bucket").distinct())
-    lead = left.groupBy("bucket").agg(F.min("rep").alias("centre"))
-    tests = left.filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
-    links, centres = None, 1
-    while True:
-        found = materialize(test(materialize(tests.distinct())))
-        links = found if links is None else links.union(found)
-        labels = materialize(connected_components(links))
-        # a centre has met its whole bucket
-        rest = left.select("bucket", "rep").join(lead.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti")
-        rest = rest.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        left = materialize(rest.join(mixed.select("bucket"), "bucket").select("bucket", "rep", "component"))
-        if left.isEmpty():
-            return links, labels
-        centres *= 8
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
-        lead = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= centres)
-        lead = lead.select("bucket", F.col("rep").alias("centre"), F.col("component").alias("of"))
-        tests = left.join(lead, "bucket").filter("component <> of").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+    pairs = left.filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
+    links = materialize(verify(materialize(pairs), texts_of, k, percent))
+    labels = materialize(connected_components(links)).withColumnRenamed("node", "rep")
+    rest = left.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rest = materialize(rest.select("bucket", "rep", "component"))
+    mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    rest = materialize(rest.join(mixed.select("bucket"), "bucket"))
+    links = links.union(materialize(settle(rest, texts_of, k, percent)))
+    return links, materialize(connected_components(links))
 
 
 def near_duplicates(
@@ -174,7 +251,7 @@ def near_duplicates(
     classes = sets.groupBy(*key).agg(F.min("id").alias("rep"))
     lone = classes.join(sets.withColumnRenamed("id", "rep"), [*key, "rep"]).dropDuplicates([*key, "rep"])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    links, labels = link_classes(lone, lambda pairs: verify(pairs, lambda ids: texts.join(ids, "id"), k, percent))
+    links, labels = link_classes(lone, lambda ids: texts.join(ids, "id"), k, percent)
     if _repeats(sets):
         # an id that stands for one class is a member of another too
         twins = sets.join(classes, key).select(F.col("rep").alias("a"), F.col("id").alias("b"))
