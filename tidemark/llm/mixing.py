@@ -68,7 +68,7 @@ def pivot(probability: np.ndarray, draws: np.ndarray) -> np.ndarray:
                 out[held], out[i] = 0.0, total
                 held = i
         else:
-            if draws[i] < (1.0 - b) / (2.0 - total):
+            if draws[i] < (1.0 - a) / (2.0 - total):
                 out[held], out[i] = total - 1.0, 1.0
             else:
                 out[held], out[i] = 1.0, total - 1.0
