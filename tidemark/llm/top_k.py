@@ -12,45 +12,40 @@ from tidemark.llm.runtime import materialize, prepare
 #: Vectors in a shard, queries in a block.
 SHARD, BLOCK = 8192, 128
 
-#: Entries that are read from each list before bounds are compared again.
-DEPTH = 64
+#: How much of each list has been read when bounds are compared.
+DEPTHS = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
 
 
-def aggregate(query: np.ndarray, vectors: np.ndarray, lists: np.ndarray, k: int, floor: int | None) -> np.ndarray:
-    """Rows of vectors that may be among the k best for query; every row left out scores below the k-th best, or below floor.
+def aggregate(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[np.ndarray]:
+    """For each query the rows of vectors that may be among its k best; every row left out scores below the k-th best.
 
-    lists[d] has the rows sorted by their component d. Each list is read from the end that adds most to the score. A row that
-    has been met has a lower bound (what it has shown, and the least that each other list can add) and an upper bound (the
-    same with the last entry read from each other list); one that hasn't is bounded by the last entries alone. Reading stops
-    when nothing outside can reach the k-th lower bound; ties stay in.
+    For each component there is a list of the rows sorted by it. A query reads each list in order, from the end that adds most to
+    its score, and all lists to the same depth. A row has a lower bound, its score if each component that it has not shown were
+    the worst of its list, and an upper bound, its score if each were the last entry read. Rows whose upper bound is below the
+    k-th lower bound are outsiders; a query stops when few rows are left. Ties stay in. The queries of a block read together.
     """
-    rows, dims = vectors.shape
-    used = np.flatnonzero(query)
-    if not len(used) or rows <= k:
-        return np.arange(rows)
-    weight = query[used].astype(np.float64)
-    read = np.where(weight[:, None] > 0, lists[used][:, ::-1], lists[used])
-    worst = weight * vectors[read[:, -1], used]
-    sums = np.zeros(rows)
-    unseen = np.ones((rows, len(used)), np.float32)
-    alive = np.arange(rows)
-    place = np.tile(np.arange(len(used)), (DEPTH, 1)).T
-    for at in range(0, rows, DEPTH):
-        step = read[:, at : at + DEPTH]
-        d = place[:, : step.shape[1]]
-        np.add.at(sums, step.ravel(), (weight[:, None] * vectors[step, used[d]]).ravel())
-        unseen[step.ravel(), d.ravel()] = 0
-        last = weight * vectors[step[:, -1], used]
-        open_ = unseen[alive].astype(np.float64)
-        lower, upper = sums[alive] + open_ @ worst, sums[alive] + open_ @ last
-        bar = np.partition(lower, len(lower) - k)[len(lower) - k] if len(alive) >= k else -np.inf
-        if floor is not None:
-            bar = max(bar, floor)
-        # rows that no list has shown are among the alive, and their upper bound is the sum of the last entries
-        alive = alive[upper >= bar]
-        if len(alive) <= 4 * k or at + DEPTH >= rows:
+    rows, k = len(vectors), min(k, len(vectors))
+    order = np.argsort(vectors, axis=0, kind="stable")
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(rows)[:, None], axis=0)
+    entry = lambda i: np.take_along_axis(vectors, order[i][None, :], axis=0)  # noqa: E731  the lists' entries at place i
+    values = vectors.astype(np.float64)
+    out: list[np.ndarray] = [np.arange(0)] * len(queries)
+    waiting = np.arange(len(queries))
+    for depth in DEPTHS:
+        read = max(1, int(rows * depth))
+        up, down = queries[waiting].clip(min=0).T.astype(np.float64), queries[waiting].clip(max=0).T.astype(np.float64)
+        high, low = rank >= rows - read, rank < read
+        lower = np.where(high, values, entry(0)) @ up + np.where(low, values, entry(rows - 1)) @ down
+        upper = np.where(high, values, entry(rows - read)) @ up + np.where(low, values, entry(read - 1)) @ down
+        inside = upper >= np.partition(lower, rows - k, axis=0)[rows - k]
+        done = (inside.sum(axis=0) <= 4 * k + 16) | (read == rows)
+        for i in np.flatnonzero(done):
+            out[waiting[i]] = np.flatnonzero(inside[:, i])
+        waiting = waiting[~done]
+        if not len(waiting):
             break
-    return alive
+    return out
 
 
 def _distinct(vectors: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -66,11 +61,9 @@ def _best(k: int):
         out: list[tuple[int, int, int]] = []
         if len(queries) and len(rows):
             kinds, ids = _distinct(np.stack(rows["v"].to_numpy()).astype(np.int64), rows["id"].to_numpy(np.int64), k + 1)
-            lists = np.argsort(kinds, axis=0, kind="stable").T
-            for q, v in zip(queries["id"].to_numpy(np.int64), queries["v"]):
-                query = np.asarray(v, np.int64)
-                # one more than k, as the query's own row may be among them
-                left = aggregate(query, kinds, lists, k + 1, None)
+            asked = np.stack(queries["v"].to_numpy()).astype(np.int64)
+            # one more than k, as the query's own row may be among them
+            for q, query, left in zip(queries["id"].to_numpy(np.int64), asked, aggregate(asked, kinds, k + 1)):
                 final = kinds[left] @ query  # the final scores of those that are left
                 found = [(-int(s), int(i)) for s, x in zip(final, left) for i in ids[x] if i != q]
                 out += [(int(q), i, -s) for s, i in sorted(found)[:k]]
@@ -121,12 +114,12 @@ def op8_top_k(spark, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 c AS (
   SELECT q.vec_id AS query_id, r.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, r.v), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 50 = 0),
 o AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM c)
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 5
