@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import materialize, prepare
+from tidemark.llm.runtime import bounded_sample, materialize, prepare
 from tidemark.llm.textkit import SPACE, U, Words, hash_spans, mix, per_text
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -181,25 +181,26 @@ STEPS = 10_000
 
 def calibrate(
     counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-    trees: int = 100, sample: int = 256, bound: int = 10_000, keep_share: float = 0.998, seed: int = 5,
+    trees: int = 100, sample: int = 256, bound: int = 10_000, care: float = 20.0, seed: int = 5,
 ) -> Judge:
     """A judge for rows of statistics().
 
     The forest is grown on at most `bound` labelled rows (those whose ids hash lowest) and learns where those of label 1 lie. The
-    cut is the lowest with which at least `keep_share` of all labelled rows of label 1 that pass the base rule are kept.
-    Without such rows the base rule alone decides.
+    cut is the one with the least loss over all labelled rows that pass the base rule: the share of junk that it lets pass, and
+    `care` times the share of sound rows that it rejects. Without rows of label 1 the base rule alone decides.
     """
     told = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.min(label_col) == 1).alias("good"))
     told = materialize(counts.join(told, "id").filter((F.col("n_words") >= 10) & (100 * F.col("n_repeat_words") <= 20 * F.col("n_words"))))
-    sound = told.filter("good").drop("good")
-    taught = told.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(bound).toPandas()
+    taught = bounded_sample(told, bound, seed).toPandas().sort_values(["turn", "id"])
     if not taught["good"].any():
         return Judge(None, STEPS)
     seen = features(taught)
     judge = Judge(Forest(seen[taught["good"].to_numpy(bool)], seen.min(axis=0), seen.max(axis=0), trees, sample, seed), STEPS)
-    bins = verdicts(sound, judge).select(F.ceil(F.col("score") * STEPS).alias("bin")).groupBy("bin").count().orderBy("bin").toPandas()
-    share = bins["count"].cumsum() / bins["count"].sum()
-    judge.cut = int(bins["bin"][int((share >= keep_share).to_numpy().argmax())])
+    bins = verdicts(told, judge).groupBy(F.ceil(F.col("score") * STEPS).alias("bin")).agg(F.count_if(F.col("good")).alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    bins = bins.orderBy("bin").toPandas()  # at most one row for each step
+    lost = 1 - bins["good"].cumsum() / max(bins["good"].sum(), 1)
+    passed = bins["bad"].cumsum() / max(bins["bad"].sum(), 1)
+    judge.cut = int(bins["bin"][int((care * lost + passed).to_numpy().argmin())])
     return judge
 
 

@@ -34,6 +34,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_sample(df: DataFrame, bound: int, seed: int, key: str = "id") -> DataFrame:
+    """At most `bound` rows, those whose keys hash lowest, with the hash as `turn`; all rows if there are no more.
+
+    The rest is filtered out where it is read, so that what meets in one place is little more than the bound.
+    """
+    n = df.count()
+    df = df.withColumn("turn", F.xxhash64(key, F.lit(seed)))
+    if n > bound:
+        share = min(1.0, 1.1 * bound / n + 1e-3)
+        df = df.filter(F.pmod("turn", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(F.pmod("turn", F.lit(1 << 20)), "turn", key)
+    return df.limit(bound)
+
+
 def ascii_lower(column):
     """A-Z lower-cased, other letters as they are."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
