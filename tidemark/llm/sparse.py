@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.runtime import bounded_sample
 from tidemark.llm.textkit import U, Words
 
 
@@ -40,14 +41,17 @@ class Sparse:
         return out
 
 
-def hashed_words(words: Words, width: int) -> Sparse:
-    """Log counts of hashed words. width: a power of two."""
-    owner = words.doc().astype(np.uint64)
-    key, count = np.unique(owner * U(width) + (words.hash & U(width - 1)), return_counts=True)
-    at = np.searchsorted(key, np.arange(len(words.n) + 1).astype(np.uint64) * U(width))
+def hashed(owner: np.ndarray, hashes: np.ndarray, rows: int, width: int) -> Sparse:
+    """Log counts of hashed features, each given with the row that owns it. width: a power of two."""
+    key, count = np.unique(owner.astype(np.uint64) * U(width) + (hashes & U(width - 1)), return_counts=True)
+    at = np.searchsorted(key, np.arange(rows + 1).astype(np.uint64) * U(width))
     return Sparse((key & U(width - 1)).astype(np.int64), np.log1p(count), at)
 
 
+def hashed_words(words: Words, width: int) -> Sparse:
+    return hashed(words.doc(), words.hash, len(words.n), width)
+
+
 def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_cols: list[str], bound: int, seed: int, fit: Callable):
     """fit(texts, labels as an array with a column for each of label_cols) on at most `bound` labelled rows; None if there are none.
 
@@ -56,7 +60,7 @@ def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     """
     told = labels.filter(" and ".join(f"{c} is not null" for c in [id_col, *label_cols]))
     told = told.groupBy(F.col(id_col).alias("id")).agg(*[F.max(F.col(c).cast("int")).alias(c) for c in label_cols])
-    chosen = told.withColumn("turn", F.xxhash64("id", F.lit(seed))).orderBy("turn", "id").limit(bound)
+    chosen = bounded_sample(told, bound, seed)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # chosen has `bound` rows of a few numbers at most
     rows = texts.join(F.broadcast(chosen), "id").select("turn", "text", *label_cols).repartition(1).sortWithinPartitions("turn", "text")

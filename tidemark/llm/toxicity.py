@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.runtime import prepare
-from tidemark.llm.sparse import Sparse, fit_once, hashed_words
-from tidemark.llm.textkit import Words
+from tidemark.llm.sparse import Sparse, fit_once, hashed
+from tidemark.llm.textkit import Words, constants, hash_spans, mix
 
 #: Buckets of hashed words: many, as a collision with a frequent word would hide a rare one.
 WIDTH = 1 << 18
@@ -22,9 +22,20 @@ BREAK[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 GRADES = ("none", "mild", "strong", "severe")
 
 
+#: Beginnings of words, in bytes, that count as features too: inflected and compound words share them.
+BEGINNINGS = (4, 5, 6, 8)
+
+
 def inputs(column: pa.Array) -> Sparse:
-    """Log counts of the words, lower-cased; long texts are not scaled down, so that what they hold still counts."""
-    return hashed_words(Words(column, lower=True, space=BREAK), WIDTH)
+    """Log counts of the words and of their beginnings, lower-cased. Long texts are not scaled down: what they hold still counts."""
+    words = Words(column, lower=True, space=BREAK)
+    owner, size = words.doc(), words.ends - words.starts
+    owners, hashes = [owner], [words.hash]
+    for n, seed in zip(BEGINNINGS, constants(909, len(BEGINNINGS))):
+        longer = size > n
+        owners.append(owner[longer])
+        hashes.append(mix(hash_spans(words.data, words.starts[longer], words.starts[longer] + n) ^ seed))
+    return hashed(np.concatenate(owners), np.concatenate(hashes), len(words.n), WIDTH)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -88,7 +99,7 @@ def grade_rows(x: Sparse, toxic: np.ndarray) -> np.ndarray:
     in1 = np.bincount(x.columns[toxic[owner]], minlength=WIDTH)
     in0 = np.bincount(x.columns[~toxic[owner]], minlength=WIDTH)
     ratio = np.log((in1 + 0.5) / (n1 + 1)) - np.log((in0 + 0.5) / (n0 + 1))
-    strong = np.where((in1 >= 5) & (ratio > np.log(8)), ratio, 0.0)
+    strong = np.where((in1 >= 3) & (ratio > np.log(8)), ratio, 0.0)
     amount = x.sums(strong[x.columns] * x.values)
     grade = np.zeros(len(x), np.int64)
     cuts = np.quantile(amount[toxic], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
@@ -96,9 +107,11 @@ def grade_rows(x: Sparse, toxic: np.ndarray) -> np.ndarray:
     return grade
 
 
-def learn(texts: pa.Array, labels: np.ndarray, epochs: int = 6, seed: int = 9) -> Ordinal:
+def learn(texts: pa.Array, labels: np.ndarray, updates: int = 750, batch: int = 128, seed: int = 9) -> Ordinal:
+    """About as many updates however many rows there are."""
     x = inputs(texts)
-    return Ordinal(WIDTH, len(GRADES)).fit(x, grade_rows(x, labels[:, 0] == 1), epochs, 128, 0.1, 2e-4, seed)
+    epochs = max(12, -(-updates * batch // max(len(x), 1)))
+    return Ordinal(WIDTH, len(GRADES)).fit(x, grade_rows(x, labels[:, 0] == 1), epochs, batch, 0.2, 5e-4, seed)
 
 
 def score_toxicity(
