@@ -1,0 +1,72 @@
+"""Plain versions of what the operators compute, for small inputs."""
+
+import re
+from collections import Counter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+#: Texts at the edges: nothing, blanks, one word, repeats, many bytes a letter, symbols, a very long one.
+ODD = [
+    None, "", " \n\t ", "one", "two words", "A b\x0bc\x0cd\re", "\n\n\n", "ümläut ñandú 漢字 🙂 çà", "a b c d e a b c d e a b c d e",
+    "x" * 5000, ("same line here\n" * 5) + "last", "wort " * 3000, " nbsp wide", "###$$$ %%% <|>", "Ünïcode Ünïcode Ünïcode",
+]
+
+
+def frame(spark, texts, first=0, **more):
+    """documents with clashing extra columns."""
+    rows = [(i + first, t, "en", f"src{i % 3}" if i % 7 else None, len(t or ""), i, "x", 1) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id long, component string, lot int")
+
+
+def words(text, lower=True):
+    return WORD.findall((text or "").translate(LOWER) if lower else (text or ""))
+
+
+def shingles(text, k):
+    w = words(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)])
+
+
+class Groups:
+    def __init__(self, items):
+        self.up = {x: x for x in items}
+
+    def find(self, x):
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, x, y):
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+
+
+def components(texts, k, percent):
+    """{id: least id} by comparing all pairs."""
+    sets = {i: shingles(t, k) for i, t in texts.items()}
+    groups = Groups(texts)
+    ids = [i for i in sets if sets[i]]
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                groups.join(a, b)
+    return {i: groups.find(i) for i in texts}
+
+
+def rule_counts(text):
+    w, lines = words(text, lower=False), (text or "").split("\n")
+    seen, again = set(), 0
+    for line in lines:
+        if WORD.search(line):
+            again += line in seen
+            seen.add(line)
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    many, covered = Counter(windows), set()
+    for i, x in enumerate(windows):
+        if many[x] > 1:
+            covered.update(range(i, i + 5))
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), again, len(covered)

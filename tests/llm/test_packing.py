@@ -1,0 +1,124 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from helpers import ODD, frame
+from tidemark.llm import packing
+from tidemark.llm.registry import QUERIES
+
+HF = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids_of(text):
+    return [*HF.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def best_fit_decreasing(lengths, capacity):
+    """Piece by piece; what is left in each sequence, sorted."""
+    left = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, c in enumerate(left) if c >= n]
+        if fits:
+            i = min(fits, key=lambda i: left[i])
+            left[i] -= n
+        else:
+            left.append(capacity - n)
+    return sorted(left)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=80), st.integers(20, 25))
+def test_plan_is_best_fit_decreasing(lengths, capacity):
+    runs = packing.plan(dict(Counter(lengths)), capacity)
+    filled, placed = {}, Counter()
+    for length, rank, ranks, first, each, offset in runs:
+        for r in range(ranks):
+            seq, at = first + r // each, offset + (r % each) * length
+            filled.setdefault(seq, []).append((at, length))
+            placed[length, rank + r] += 1
+    assert placed == Counter((n, i) for n, m in Counter(lengths).items() for i in range(m))
+    for parts in filled.values():
+        end = 0
+        for at, n in sorted(parts):
+            assert at == end
+            end += n
+        assert end <= capacity
+    assert sorted(capacity - sum(n for _, n in p) for p in filled.values()) == best_fit_decreasing(lengths, capacity)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, 40)), st.integers(0, 40))
+def test_tightest_fit(some, c):
+    tree = packing.TightestFit(40)
+    for x in some:
+        tree.set(x, True)
+    assert tree.least(c) == min((x for x in some if x >= c), default=-1)
+
+
+def check(rows, texts, capacity=1024):
+    by_doc, by_seq = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_seq.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for i, text in texts.items():
+        ids, at = ids_of(text), 0
+        parts = sorted(by_doc[i], key=lambda r: r.piece)
+        for n, r in enumerate(parts):
+            data = np.array(ids[at : at + r.length], "<u4").tobytes()
+            assert (r.piece, r.start) == (n, at) and zlib.crc32(data) == (r.ids_crc32 if "ids_crc32" in r else zlib.crc32(r.ids))
+            at += r.length
+        assert at == len(ids) and all(r.length == capacity for r in parts[1:])
+        assert len(parts) == -(-len(ids) // capacity)
+    for parts in by_seq.values():
+        end = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == end
+            end += r.length
+        assert end <= capacity
+    assert len(by_seq) == len(best_fit_decreasing([r.length for r in rows], capacity))
+
+
+def test_query_on_all_documents(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    check(QUERIES["op1_packing"](spark, sf).collect(), texts)
+
+
+def test_odd_texts(spark):
+    texts = [*ODD, "a <|endoftext|> b", "x y\u0378z \u1e9e \U0001f469\u200d\U0001f4bb", "word " * 1023, "word " * 1022]
+    check(packing.pack(frame(spark, texts)).collect(), dict(enumerate(texts)))
+    assert packing.pack(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_rows_that_repeat_and_hot_lengths(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LOT", 5)
+    rows = [(i % 3, "same text here") for i in range(300)] + [(None, "other")] * 2
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), capacity=16).collect()
+    assert len(got) == 302 and len({(r.sequence_id, r.offset) for r in got}) == 302
+    assert len({r.sequence_id for r in got}) == len(best_fit_decreasing([r.length for r in got], 16))
+
+
+def test_bad_lengths(spark):
+    with pytest.raises(ValueError):
+        packing.place(spark.createDataFrame([(1, 0, 2000)], "doc_id long, piece int, length long"))
+
+
+def test_both_tokenizers_agree_on_plain_code_points():
+    import base64
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    fast = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    plain = [chr(c) for c in range(0x2100) if not packing.PLAIN.search(chr(c))]
+    assert len(plain) > 0x250
+    texts = [f.format(c=c) for c in plain for f in ("{c}", "a{c}b", " {c} {c}{c}", "1{c}2 {c}'s", "\n{c}\t {c}\r\n  {c}")]
+    rng = np.random.default_rng(0)
+    texts += ["".join(rng.choice(plain, 40)) for _ in range(3000)]
+    assert [e.ids for e in HF.encode_batch(texts, add_special_tokens=False)] == [fast.encode(t, disallowed_special=()) for t in texts]
