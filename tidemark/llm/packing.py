@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.runtime import materialize, prepare
 
 #: Ranks are counted in lots of about so many pieces of one length.
-LOT = 2000
+LOT = 500
 
 #: The code points (up to U+024F, and general punctuation) on which both tokenizer libraries are tested to agree.
 PLAIN = re.compile("[^\\x00-ɏ‐-‧‰-⁞]")
@@ -107,11 +107,12 @@ def place(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", k
     histogram = {r[0]: r[1] for r in pieces.groupBy(length_col).count().collect()}
     if any(x is None or not 0 < x <= capacity for x in histogram):
         raise ValueError(f"lengths must be between 1 and {capacity}")
-    lots = max(1, max(histogram.values(), default=0) // LOT)
+    # a row for each length
+    lots = spark.createDataFrame([(n, m // LOT + 1) for n, m in histogram.items()], "_n long, _lots long")
     runs = sorted(plan(histogram, capacity))
     table = spark.sparkContext.broadcast(np.array(runs, dtype=np.int64).reshape(-1, 6))
     order = F.xxhash64(*key)
-    dealt = pieces.withColumn("_lot", F.pmod(order, F.lit(lots)))
+    dealt = pieces.join(F.broadcast(lots), F.col(length_col) == F.col("_n")).withColumn("_lot", F.pmod(order, "_lots"))
     counts = dealt.groupBy(F.col(length_col).alias("_l"), F.col("_lot").alias("_m")).count()
     before = Window.partitionBy("_l").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_l", "_m", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
