@@ -248,10 +248,11 @@ def near_duplicates(
     made = materialize(sketches(docs, id_col, text_col, k, bands, rows))
     sets = made.filter("n_shingles > 0 and id is not null")
     key = ["n_shingles", "f1", "f2"]
-    classes = sets.groupBy(*key).agg(F.min("id").alias("rep"))
-    lone = classes.join(sets.withColumnRenamed("id", "rep"), [*key, "rep"]).dropDuplicates([*key, "rep"])
+    # copies are combined before they are shuffled
+    kinds = materialize(sets.groupBy(*key).agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")))
+    classes = kinds.drop("bands")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    links, labels = link_classes(lone, lambda ids: texts.join(ids, "id"), k, percent)
+    links, labels = link_classes(kinds, lambda ids: texts.join(ids, "id"), k, percent)
     if _repeats(sets):
         # an id that stands for one class is a member of another too
         twins = sets.join(classes, key).select(F.col("rep").alias("a"), F.col("id").alias("b"))
