@@ -213,7 +213,7 @@ def settle(left: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int,
 
 
 def link_classes(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, components) among classes (rep, bands) whose texts are texts_of(ids).
+    """(links, components) among classes (rep, bands) whose texts are texts_of(ids). A class may stand in several rows.
 
     Candidates share a band. First the least member of each bucket, which buckets of one group have in common, is compared with
     all others of its bucket; that joins most of what belongs together at one comparison a member. Then the buckets that still

@@ -133,7 +133,7 @@ def place(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", k
     return found.select(*pieces.columns, "_at.sequence_id", "_at.offset")
 
 
-def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end_id: int = 2, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end_id: int = 2, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids): token ids of each text and an end id, cut into pieces of at most `capacity`.
 
     Texts of up to `capacity` ids are one piece. Of longer ones all pieces are full but the first, which takes the remainder.

@@ -51,10 +51,3 @@ def ascii_lower(column):
     """A-Z lower-cased, other letters as they are."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
