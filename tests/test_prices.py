@@ -87,5 +87,16 @@ def test_pipeline_is_idempotent_and_late_ticks_count(spark, folder):
     assert tables.read(spark, paths.silver).filter("event_id = 'e5'").first().price_usd == 15.0  # the first write stays
 
 
+def test_pipeline_since_a_day(spark, folder):
+    rows = [(f"e{m}", m, 10.0 + m % 7, m * 60, "OK") for m in range(0, 5000, 7)]
+    both = [Paths.under(f"{folder}/{n}") for n in "ab"]
+    for paths in both:
+        run_price_pipeline(spark, bronze(spark, rows[:-20]), paths)
+    run_price_pipeline(spark, bronze(spark, rows[-20:]), both[0])
+    run_price_pipeline(spark, bronze(spark, rows[-20:]), both[1], since="2024-01-04")
+    full, part = (sorted((r.metric_ts, round(r.ma_60, 9), r.tick) for r in tables.read(spark, p.metrics).selectExpr("metric_ts", "ma_60", "round(volatility_60, 9) tick").collect()) for p in both)
+    assert full == part and len(full) == len(rows)
+
+
 def test_empty_pipeline(spark, folder):
     assert run_price_pipeline(spark, bronze(spark, []), Paths.under(folder)).count() == 0

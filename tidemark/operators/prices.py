@@ -108,16 +108,16 @@ def ohlc_bars_join_form(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
     return _canonical(bars.join(ranked([F.desc(c) for c in order], "close_price"), BAR_KEY, "inner"), width)
 
 
-def price_metrics(bars: DataFrame, z_threshold: float = 3.0) -> DataFrame:
+def price_metrics(bars: DataFrame, z_threshold: float = 3.0, by: tuple[str, ...] = ()) -> DataFrame:
     """Returns against 1 and 5 bars before, means of 5, 15 and 60 bars, volatility of the return, z-score and anomaly flag.
 
     Frames count bars, not minutes: gaps are not filled, and frames at the start of a series are as long as it is. Mean and
-    deviation of the z-score include the bar itself.
+    deviation of the z-score include the bar itself. by: further columns that keep rows of a series apart.
     """
-    series = Window.partitionBy(*SERIES).orderBy("metric_ts")
+    series = Window.partitionBy(*SERIES, *by).orderBy("metric_ts")
     last = lambda n: series.rowsBetween(1 - n, Window.currentRow)
     price = F.col("price_usd")
-    rows = bars.select(*SERIES, F.col("bar_start_ts").alias("metric_ts"), F.col("close_price").alias("price_usd"))
+    rows = bars.select(*SERIES, *by, F.col("bar_start_ts").alias("metric_ts"), F.col("close_price").alias("price_usd"))
     rows = rows.withColumns({
         "return_1m": relative_change(price, F.lag("price_usd", 1).over(series)), "return_5m": relative_change(price, F.lag("price_usd", 5).over(series)),
         "ma_5": F.avg("price_usd").over(last(5)), "ma_15": F.avg("price_usd").over(last(15)), "ma_60": F.avg("price_usd").over(last(60)),
@@ -126,7 +126,7 @@ def price_metrics(bars: DataFrame, z_threshold: float = 3.0) -> DataFrame:
     rows = rows.withColumns({"volatility_15": F.stddev_samp("return_1m").over(last(15)), "volatility_60": F.stddev_samp("return_1m").over(last(60))})
     z = F.when(F.col("_std").isNull() | (F.col("_std") == 0), None).otherwise((price - F.col("ma_60")) / F.col("_std"))
     rows = rows.withColumn("zscore_60", z).withColumn("is_anomaly", F.coalesce(F.abs("zscore_60") >= z_threshold, F.lit(False)))
-    return rows.select(*METRICS.fieldNames())
+    return rows.select(*METRICS.fieldNames(), *by)
 
 
 #: Bars before a changed one that its metrics and those of the 60 bars after it can depend on.
@@ -145,3 +145,20 @@ def metrics_since(bars: DataFrame, changed: DataFrame, z_threshold: float = 3.0)
     old = rows.filter("bar_start_ts < _from").withColumn("_n", F.row_number().over(before)).filter(F.col("_n") <= LOOKBACK + 1).drop("_n")
     metrics = price_metrics(old.unionByName(rows.filter("bar_start_ts >= _from")).select(*bars.columns), z_threshold)
     return metrics.join(first, SERIES).filter("metric_ts >= _from").drop("_from")
+
+
+def price_metrics_sliced(bars: DataFrame, z_threshold: float = 3.0) -> DataFrame:
+    """The same rows as price_metrics, with each day of a series computed by itself: for series too long for one task.
+
+    A day needs the 60 bars before it. As each day that is there has a bar at least, they lie in the 60 days before it that are
+    there; counts of bars by day tell in which of them. Those days' bars are read once more and dropped at the end.
+    """
+    days = bars.groupBy(*SERIES, "trade_date").agg(F.count("*").alias("_bars"))
+    order = Window.partitionBy(*SERIES).orderBy("trade_date")
+    days = days.withColumn("_through", F.sum("_bars").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.collect_list(F.struct("trade_date", "_through")).over(order.rowsBetween(-LOOKBACK, -1))
+    days = days.withColumn("_days", F.filter(before, lambda d: d["_through"] > F.col("_through") - F.col("_bars") - LOOKBACK))
+    own = F.array(F.col("trade_date"))
+    days = days.select(*SERIES, F.col("trade_date").alias("_slice"), F.explode(F.concat(own, F.col("_days.trade_date"))).alias("trade_date"))
+    metrics = price_metrics(bars.join(days, [*SERIES, "trade_date"]), z_threshold, by=("_slice",))
+    return metrics.filter(F.to_date("metric_ts") == F.col("_slice")).drop("_slice")

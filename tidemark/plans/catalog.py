@@ -122,6 +122,11 @@ def price_metrics(spark, sf_dir):
     return rounded(prices.price_metrics(hourly(spark, sf_dir)))
 
 
+@query(f"WITH {SILVER}, {bars_sql('hour')}, {METRICS_CTE} SELECT {METRIC_COLUMNS} FROM metrics")
+def price_metrics_sliced(spark, sf_dir):
+    return rounded(prices.price_metrics_sliced(hourly(spark, sf_dir)))
+
+
 @query(f"WITH {SILVER}, {bars_sql('hour')}, {METRICS_CTE} SELECT symbol, source_name, currency, metric_ts, price_usd, round(zscore_60, 9) AS zscore_60 FROM metrics WHERE abs(zscore_60) >= 2.5")
 def anomalies(spark, sf_dir):
     found = prices.price_metrics(hourly(spark, sf_dir), z_threshold=2.5).filter("is_anomaly")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.prices import BAR_KEY, METRIC_KEY, clean_ticks, ohlc_bars, price_metrics, with_calendar
+from tidemark.operators.prices import BAR_KEY, METRIC_KEY, clean_ticks, metrics_since, ohlc_bars, price_metrics, with_calendar
 from tidemark.schemas import BARS, BRONZE_PRICES, METRICS, SILVER_TICKS
 from tidemark.sources import tables
 
@@ -41,17 +41,25 @@ def to_bars(spark: SparkSession, paths: Paths, width: str = "1 minute", since: s
     tables.merge_upsert(spark, paths.bars, ohlc_bars(ticks, width), BAR_KEY, "trade_date", fmt)
 
 
-def to_metrics(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> None:
-    """The table is partitioned by day, so that only days with changes are rewritten."""
-    rows = price_metrics(tables.read_or_empty(spark, paths.bars, BARS, fmt)).withColumn("metric_date", F.to_date("metric_ts"))
+def to_metrics(spark: SparkSession, paths: Paths, since: str | None = None, fmt: str = "parquet") -> None:
+    """since: only what bars from that day on can have changed. The table is partitioned by day; other days are not rewritten."""
+    bars = tables.read_or_empty(spark, paths.bars, BARS, fmt)
+    if since:
+        rows = metrics_since(bars, bars.filter(F.col("trade_date") >= F.lit(since).cast("date")))
+    else:
+        rows = price_metrics(bars)
+    rows = rows.withColumn("metric_date", F.to_date("metric_ts"))
     tables.merge_upsert(spark, paths.metrics, rows, METRIC_KEY, "metric_date", fmt)
 
 
-def run_price_pipeline(spark: SparkSession, bronze: DataFrame | None, paths: Paths, width: str = "1 minute", fmt: str = "parquet") -> DataFrame:
-    """Append bronze rows, if any, and bring the three tables behind them up to date. Running it again changes nothing."""
+def run_price_pipeline(spark: SparkSession, bronze: DataFrame | None, paths: Paths, width: str = "1 minute", since: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Append bronze rows, if any, and bring the three tables behind them up to date. Running it again changes nothing.
+
+    since: the first day that the new rows touch, if it is known; older bars are then left alone.
+    """
     if bronze is not None:
         ingest(bronze, paths.bronze, fmt)
     to_silver(spark, paths, fmt)
-    to_bars(spark, paths, width, fmt=fmt)
-    to_metrics(spark, paths, fmt)
+    to_bars(spark, paths, width, since, fmt)
+    to_metrics(spark, paths, since, fmt)
     return tables.read_or_empty(spark, paths.metrics, METRICS, fmt).select(*METRICS.fieldNames())
