@@ -6,8 +6,9 @@ from tidemark.llm.packing import op1_packing
 from tidemark.llm.quality_classifier import op6_quality_classifier
 from tidemark.llm.quality_rules import op5_quality_rules
 from tidemark.llm.secrets import op7_secrets
+from tidemark.llm.sql import SQL
 from tidemark.llm.substring_dedup import op10_substring_dedup
-from tidemark.llm.top_k import OP8_SQL, op8_top_k
+from tidemark.llm.top_k import op8_top_k
 from tidemark.llm.toxicity import op9_toxicity
 from tidemark.llm.url_filter import op2_url_filter
 
@@ -19,4 +20,4 @@ QUERIES = {
     )
 }
 
-SQL = {"op8_top_k": OP8_SQL}
+__all__ = ["QUERIES", "SQL"]

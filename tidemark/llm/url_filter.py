@@ -52,7 +52,7 @@ def resolved(link: Column, url: Column) -> Column:
     )
 
 
-def _parts(rules: list[tuple[str, str]]) -> list[tuple[str, str, str, str]]:
+def rule_parts(rules: list[tuple[str, str]]) -> list[tuple[str, str, str, str]]:
     """(host, path, rule, verdict), the longest first; of equal rules an allowing one first."""
     split = [(r.partition("/")[0].lower(), r[len(r.partition("/")[0]) :], r, v) for v, r in rules]
     return sorted(split, key=lambda x: (-len(x[2]), x[3] != "allow", x[2]))
@@ -63,7 +63,7 @@ def match_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 
     A rule fits its host and the subdomains of it where the path starts with the rule's.
     """
-    parts = _parts(rules)
+    parts = rule_parts(rules)
     if len(parts) <= FEW:
         rule = explicit = F.lit(None).cast("string")
         for host, path, name, verdict in reversed(parts):
