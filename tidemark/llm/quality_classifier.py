@@ -86,8 +86,8 @@ class Machine:
         return self
 
 
-def learn(texts: pa.Array, labels: np.ndarray, epochs: int = 4, seed: int = 6) -> Machine:
-    x, y = inputs(texts), (labels[:, 0] == 1).astype(np.float32)
+def learn(x: Sparse, labels: np.ndarray, epochs: int = 4, seed: int = 6) -> Machine:
+    y = (labels[:, 0] == 1).astype(np.float32)
     return Machine(WIDTH + STATS, RANK, seed).fit(x, y, epochs, 128, 0.1, 1e-5, seed)
 
 
@@ -101,7 +101,7 @@ def score_quality(
     Empty table: empty result. Extra columns are ignored.
     """
     spark = prepare(docs.sparkSession)
-    model = fit_once(docs, labels, id_col, text_col, [label_col], bound, seed, learn)
+    model = fit_once(docs, labels, id_col, text_col, [label_col], bound, seed, inputs, learn)
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 

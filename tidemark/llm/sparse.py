@@ -23,6 +23,12 @@ class Sparse:
     def __len__(self) -> int:
         return len(self.at) - 1
 
+    @staticmethod
+    def join(parts: list[Sparse]) -> Sparse:
+        """The rows of all parts, one after the other."""
+        sizes = np.concatenate([np.diff(p.at) for p in parts])
+        return Sparse(np.concatenate([p.columns for p in parts]), np.concatenate([p.values for p in parts]), np.concatenate([[0], np.cumsum(sizes)]))
+
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.at))
 
@@ -52,11 +58,11 @@ def hashed_words(words: Words, width: int) -> Sparse:
     return hashed(words.doc(), words.hash, len(words.n), width)
 
 
-def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_cols: list[str], bound: int, seed: int, fit: Callable):
-    """fit(texts, labels as an array with a column for each of label_cols) on at most `bound` labelled rows; None if there are none.
+def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_cols: list[str], bound: int, seed: int, inputs: Callable, fit: Callable):
+    """fit(features, labels as an array with a column for each of label_cols) on at most `bound` labelled rows; None if there are none.
 
-    The rows are those whose ids hash lowest, in the order of the hash, so that reruns agree. One task holds them: their
-    number is bounded whatever the size of the corpus. Ids that are labelled in more than one way count as their greatest label.
+    The rows are those whose ids hash lowest, in the order of the hash, so that reruns agree. One task holds their features,
+    inputs(texts), made batch by batch: their number is bounded whatever the size of the corpus. Ids that are labelled in more than one way count as their greatest label.
     """
     told = labels.filter(" and ".join(f"{c} is not null" for c in [id_col, *label_cols]))
     told = told.groupBy(F.col(id_col).alias("id")).agg(*[F.max(F.col(c).cast("int")).alias(c) for c in label_cols])
@@ -66,12 +72,13 @@ def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     rows = texts.join(F.broadcast(chosen), "id").select("turn", "text", *label_cols).repartition(1).sortWithinPartitions("turn", "text")
 
     def run(batches):
-        batches = [b for b in batches if b.num_rows]
-        if batches:
-            table = pa.Table.from_batches(batches)
-            given = np.column_stack([table.column(c).to_numpy() for c in label_cols])
-            model = fit(pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in batches]), given)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        features, given = [], []
+        for batch in batches:
+            if batch.num_rows:
+                features.append(inputs(batch.column(1)))
+                given.append(np.column_stack([batch.column(i + 2).to_numpy() for i in range(len(label_cols))]))
+        if features:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(Sparse.join(features), np.concatenate(given)))], pa.binary())], ["model"])
 
     found = rows.mapInArrow(run, "model binary").collect()
     return pickle.loads(found[0][0]) if found else None

@@ -107,9 +107,8 @@ def grade_rows(x: Sparse, toxic: np.ndarray) -> np.ndarray:
     return grade
 
 
-def learn(texts: pa.Array, labels: np.ndarray, updates: int = 750, batch: int = 128, seed: int = 9) -> Ordinal:
+def learn(x: Sparse, labels: np.ndarray, updates: int = 750, batch: int = 128, seed: int = 9) -> Ordinal:
     """About as many updates however many rows there are."""
-    x = inputs(texts)
     epochs = max(12, -(-updates * batch // max(len(x), 1)))
     return Ordinal(WIDTH, len(GRADES)).fit(x, grade_rows(x, labels[:, 0] == 1), epochs, batch, 0.2, 5e-4, seed)
 
@@ -123,7 +122,7 @@ def score_toxicity(
     is 0. Ids may be null or repeat: each row is scored. Empty table: empty result. Extra columns are ignored.
     """
     spark = prepare(docs.sparkSession)
-    model = fit_once(docs, labels, id_col, text_col, [label_col], bound, seed, learn)
+    model = fit_once(docs, labels, id_col, text_col, [label_col], bound, seed, inputs, learn)
     if model is not None:
         keep = np.flatnonzero(model.weights)  # the penalty has left few
         model = (keep, model.weights[keep], model.steps)
