@@ -16,14 +16,14 @@ from tidemark.llm.secrets import redact
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules or the forest reject go."""
+    """Documents that the rules or the forest reject go; null and empty texts are among them. Each row is judged by itself."""
     return keep_sound(docs, prepare(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays: five-word shingles, similarity of 0.8 or more.
 
-    Rows that repeat a doc_id become one. Rows without a doc_id stay.
+    Rows that repeat a doc_id become one. Rows without a doc_id, and texts without words, stay.
     """
     kept = near_duplicates(docs).filter("id = component").select(F.col("id").alias("doc_id"))
     once = kept.distinct()
@@ -34,24 +34,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in place; every document stays."""
+    """Secrets are masked in place, and n_chars follows the text; every document stays, null texts as they are."""
     return redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once, or twice.
 
-    Documents without a doc_id are told apart by their texts.
+    Documents without a doc_id are told apart by their texts; rows that repeat an id are taken equally often. Texts without words
+    count as any other; documents without a source are a source of their own.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    keyed = docs.withColumn("_key", key)
-    copies = mix_sources(keyed, id_col="_key").groupBy(F.col("id").alias("_key")).agg(F.max("copies").cast("int").alias("_copies"))
-    taken = keyed.join(copies.filter("_copies > 0"), "_key")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+    keyed = docs.withColumn("__mix_key", key)
+    copies = mix_sources(keyed, id_col="__mix_key").groupBy(F.col("id").alias("__mix_key")).agg(F.max("copies").cast("int").alias("__mix_copies"))
+    taken = keyed.join(copies.filter("__mix_copies > 0"), "__mix_key")
+    return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), "__mix_copies"))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes: in which sequence of at most 1024 tokens, and at which offset."""
+    """Where each piece of each document goes: in which sequence of at most 1024 tokens, and at which offset.
+
+    Null and empty texts are one end id. A document that the mix took twice is packed twice.
+    """
     prepare(spark)
     pieces = tokenize(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return place(materialize(pieces))
