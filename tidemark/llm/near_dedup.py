@@ -87,8 +87,9 @@ def verify(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int,
     very many partners is spread over tasks; a task holds the set of one such text and one Arrow batch at a time.
     """
     kind = pairs.schema["a"].dataType.simpleString()
-    fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("lots"))
-    dealt = pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b")
+    # written, so that the join stands by itself and Spark can split a text with very many partners
+    fan = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("lots")))
+    dealt = materialize(pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b"))
     roles = dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role")).union(
         dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
     )
