@@ -89,7 +89,7 @@ def verify(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int,
     kind = pairs.schema["a"].dataType.simpleString()
     # written, so that the join stands by itself and Spark can split a text with very many partners
     fan = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("lots")))
-    dealt = materialize(pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b"))
+    dealt = materialize(pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b"), release=True)
     roles = dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role")).union(
         dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
     )
@@ -222,15 +222,16 @@ def link_classes(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame],
     """
     members = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
-    left = materialize(members.join(shared.select("bucket", "least"), "bucket").distinct())
+    left = materialize(members.join(shared.select("bucket", "least"), "bucket").distinct(), release=True)
     pairs = left.filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialize(verify(materialize(pairs), texts_of, k, percent))
+    pairs = materialize(pairs, release=True)
+    links = materialize(verify(pairs, texts_of, k, percent), release=True)
     labels = materialize(connected_components(links)).withColumnRenamed("node", "rep")
     rest = left.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     rest = materialize(rest.select("bucket", "rep", "component"))
     mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = materialize(rest.join(mixed.select("bucket"), "bucket"))
-    links = links.union(materialize(settle(rest, texts_of, k, percent)))
+    rest = materialize(rest.join(mixed.select("bucket"), "bucket"), release=True)
+    links = links.union(materialize(settle(rest, texts_of, k, percent), release=True))
     return links, materialize(connected_components(links))
 
 

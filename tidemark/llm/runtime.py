@@ -28,10 +28,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read on from there: computed once, and safe when executors are lost."""
-    prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, release: bool = False) -> DataFrame:
+    """Write df to the shared checkpoint folder and read on from there: computed once, and safe when executors are lost.
+
+    release: after large shuffles. Spark deletes the files of a shuffle when the driver's JVM finds that nothing refers to it any
+    more, which it may notice late; then it is asked to look.
+    """
+    spark = prepare(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    if release:
+        spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def bounded_sample(df: DataFrame, bound: int, seed: int, key: str = "id") -> DataFrame:
