@@ -90,3 +90,14 @@ def test_query_on_all_documents(spark, sf):
     want = targets({s: sizes[s] for s in sorted(sizes)})
     assert len(got) == len(docs) and all(target[s] == pytest.approx(want[s]) for s in sizes)
     assert abs(sum(taken.values()) / sum(target.values()) - 1) < 0.05
+
+
+def test_a_very_long_text_keeps_its_chance(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["w"] * 20000), *(" ".join(["w"] * int(n)) for n in rng.integers(20, 200, 60))]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").cache()
+    copies = []
+    for seed in range(40):
+        (row,) = mixing.mix_sources(df, share=0.35, seed=seed).filter("id = 0").collect()
+        copies.append(row.copies)
+    assert set(copies) == {0, 1} and abs(np.mean(copies) - 0.35) < 0.25

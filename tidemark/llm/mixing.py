@@ -12,9 +12,6 @@ from tidemark.llm.runtime import materialize, prepare
 #: What one task rounds at a time, and how many residuals meet in one node of the tree.
 LEAF, FAN = 1024, 64
 
-#: A lot is rounded so often, and the outcome whose words come nearest to the expectation counts.
-TRIES = 16
-
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -83,10 +80,9 @@ def _rounded(seed: int, level: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         # neighbours in size trade with each other, so that the words taken stay near the target, not only the count
         rows = rows.sort_values(["size", "id"], ascending=[False, True], kind="stable", na_position="last")
-        p, size = rows["p"].to_numpy(), rows["size"].to_numpy(float)
+        p = rows["p"].to_numpy()
         rng = np.random.default_rng([seed, level, int(key[0]), int(key[1])])
-        rounded = [pivot(p, rng.random(len(p))) for _ in range(TRIES)]
-        return rows.assign(p=min(rounded, key=lambda x: abs(((x - p) * size).sum())))
+        return rows.assign(p=pivot(p, rng.random(len(p))))
 
     return run
 
@@ -101,7 +97,7 @@ def mix_sources(
     by pivotal sampling in lots of about 1024 rows dealt by a hash of the id, whatever the source's size; each lot hands on one
     residual at most, and residuals of 64 lots meet in the next level until one is left for each source, which a single draw
     settles. Draws depend on the seed, level and lot only, so that reruns agree. A source's copies then differ from their
-    expectation by less than one; among 16 outcomes of a lot the one nearest in words is taken.
+    expectation by less than one. A lot is rounded once, in order of size, so that neighbours in size trade with each other.
 
     Null or blank text: size 0, and its copies are rounded like any other. Null source: a source of its own, last in order. Null
     id: dealt and rounded like others. Rows that repeat are rounded one by one. Empty table: empty result.
