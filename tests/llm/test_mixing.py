@@ -101,3 +101,23 @@ def test_a_very_long_text_keeps_its_chance(spark):
         (row,) = mixing.mix_sources(df, share=0.35, seed=seed).filter("id = 0").collect()
         copies.append(row.copies)
     assert set(copies) == {0, 1} and abs(np.mean(copies) - 0.35) < 0.25
+
+
+def test_null_and_repeated_ids_are_dealt_to_many_lots(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAF", 64)
+    rounded, most = mixing._rounded, 3 * 64
+
+    def held(seed, level):
+        run = rounded(seed, level)
+
+        def checked(key, rows):
+            if len(rows) > most:
+                raise ValueError(f"{len(rows)} rows in a lot")
+            return run(key, rows)
+
+        return checked
+
+    monkeypatch.setattr(mixing, "_rounded", held)
+    rows = [(None if i % 2 else 7, "a b c", "s") for i in range(3000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.5).collect()
+    assert len(got) == 3000 and sum(r.id is None for r in got) == 1500 and abs(sum(r.copies for r in got) - 1500) < 1

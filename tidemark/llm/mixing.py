@@ -94,23 +94,27 @@ def mix_sources(
     """(id, source, size, source_size, target, copies): how often the mix takes each row.
 
     A row's expected copies are its source's target over its source's size. The whole part is certain; the fractions are rounded
-    by pivotal sampling in lots of about 1024 rows dealt by a hash of the id, whatever the source's size; each lot hands on one
+    by pivotal sampling in lots of about 1024 rows dealt by a hash of the row and of its number among equal rows; each lot hands on one
     residual at most, and residuals of 64 lots meet in the next level until one is left for each source, which a single draw
     settles. Draws depend on the seed, level and lot only, so that reruns agree. A source's copies then differ from their
     expectation by less than one. A lot is rounded once, in order of size, so that neighbours in size trade with each other.
 
     Null or blank text: size 0, and its copies are rounded like any other. Null source: a source of its own, last in order. Null
-    id: dealt and rounded like others. Rows that repeat are rounded one by one. Empty table: empty result.
+    id: dealt and rounded like others, in as many lots. Rows that repeat are rounded one by one. Empty table: empty result.
     """
     prepare(docs.sparkSession)
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    sizes = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size")))
+    sizes = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"))
+    # equal rows are counted and numbered, a thousand at a time, so that they are dealt to many lots
+    sizes = sizes.groupBy("id", "source", "size").agg(F.count("*").alias("n")).withColumn("block", F.explode(F.expr("sequence(0L, (n - 1) div 1000)")))
+    sizes = sizes.withColumn("turn", F.explode(F.expr("sequence(block * 1000, least(n, block * 1000 + 1000) - 1)")))
+    sizes = materialize(sizes.select("id", "source", "size", "turn"))
     targets = materialize(source_targets(sizes, weights, share, most))
     # two numbers: how many levels the largest source needs
     most_lots = targets.agg(F.max(F.ceil(F.col("rows") / LEAF))).first()[0] or 1
     rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     whole = F.floor("rate")
-    rows = rows.withColumns({"copies": whole.cast("long"), "p": F.col("rate") - whole, "lot": F.expr(f"pmod(xxhash64(id), cast(ceil(rows / {LEAF}) as long))")})
+    rows = rows.withColumns({"copies": whole.cast("long"), "p": F.col("rate") - whole, "lot": F.expr(f"pmod(xxhash64(id, size, turn), cast(ceil(rows / {LEAF}) as long))")})
     kind = docs.schema[id_col].dataType.simpleString()
     shape = f"id {kind}, source string, size long, place int, source_size long, target double, copies long, p double, lot long"
     columns = [c.split()[0] for c in shape.split(", ")]
