@@ -13,6 +13,10 @@ from tidemark.llm.packing import place, tokenize
 from tidemark.llm.quality_rules import keep_sound
 from tidemark.llm.runtime import materialize, prepare
 from tidemark.llm.secrets import redact
+from tidemark.llm.substring_dedup import tune_bands
+
+#: Documents this similar, in percent, are near-duplicates; a pair that is just so similar shares a band with probability RECALL.
+PERCENT, RECALL, ROWS = 80, 0.9999, 7
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id become one. Rows without a doc_id, and texts without words, stay.
     """
-    kept = near_duplicates(docs).filter("id = component").select(F.col("id").alias("doc_id"))
+    found = near_duplicates(docs, percent=PERCENT, bands=tune_bands(PERCENT / 100, RECALL, ROWS), rows=ROWS)
+    kept = found.filter("id = component").select(F.col("id").alias("doc_id"))
     once = kept.distinct()
     stay = docs.filter("doc_id is not null").join(once, "doc_id", "left_semi")
     if not kept.groupBy("doc_id").count().filter("count > 1").isEmpty():

@@ -93,3 +93,12 @@ def test_edges(spark):
             assert rows or docs.isEmpty() or name == "mixing"
     twice = {(r.doc_id, r.text) for r in cp.near_dedup(spark, nameless, SF).collect()}
     assert (None, texts[-1]) in twice and sum(r.doc_id == 3 for r in cp.near_dedup(spark, nameless, SF).collect()) == 1
+
+
+def test_bands_reach_the_similarity_of_the_stage(spark, monkeypatch):
+    asked = {}
+    plain = cp.near_duplicates
+    # as called, over the operator's own defaults
+    monkeypatch.setattr(cp, "near_duplicates", lambda docs, percent=80, bands=32, rows=8: asked.update(percent=percent, bands=bands, rows=rows) or plain(docs, percent=percent, bands=bands, rows=rows))
+    cp.near_dedup(spark, frame(spark, ["a b c d e f", "g"]), "")
+    assert (1 - (asked["percent"] / 100) ** asked["rows"]) ** asked["bands"] <= 1e-4
