@@ -32,3 +32,11 @@ def test_bars_are_one_shuffle(spark):
 def test_scan_pushes_down(spark):
     plan = catalog.QUERIES["scan_table"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,50.0)" in plan and "ReadSchema: struct<event_type:string,value:double>" in plan
+
+
+@pytest.mark.parametrize("name", ["events_parsed", "events_valid", "events_quarantine"])
+def test_json_is_parsed_once(spark, name):
+    plan = catalog.QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    # the test view is a union of two branches
+    assert 1 <= plan.count("from_json") <= 2
+

@@ -104,3 +104,28 @@ def test_preview_and_windows(spark, folder):
     once = streams.deduplicated(streams.table_source(spark, f"{folder}/ticks", ticks.schema).withColumn("event_ts", F.col("event_ts_utc")))
     run(once.writeStream.format("memory").queryName("once").outputMode("append").trigger(availableNow=True).start())
     assert spark.table("once").count() == 3
+
+
+def test_requests_go_to_the_log_and_come_back(spark, folder):
+    requests = spark.createDataFrame([(json.dumps(event(1, user_id="u")), "1.2.3.4", "agent"), ("{bad", "1.2.3.4", "agent")], "raw_json string, client_ip string, user_agent string")
+    streams.log_sink(events.enrich(requests), f"{folder}/sent")
+    (row,) = spark.read.parquet(f"{folder}/sent").collect()
+    assert row.key == "u" and json.loads(row.value)["collector_client_ip"] == "1.2.3.4"
+
+
+def test_processing_time_trigger(spark, folder):
+    land(spark, f"{folder}/log", [event(1), event(2)])
+    query = streams.start_bronze(streams.log_source(spark, f"{folder}/log"), f"{folder}/bronze", f"{folder}/c", every="1 second")
+    try:
+        query.processAllAvailable()
+        land(spark, f"{folder}/log", [event(3)], first=5)
+        query.processAllAvailable()
+        assert query.isActive and tables.read(spark, f"{folder}/bronze").count() == 3
+    finally:
+        query.stop()
+        query.awaitTermination(60)
+    assert not query.isActive
+
+
+def test_options_of_a_topic():
+    assert streams.kafka_options("h:9092", "t", "earliest") == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false"}

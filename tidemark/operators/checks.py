@@ -37,14 +37,13 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
 
 
 def summary(bronze: DataFrame, silver: DataFrame, bars: DataFrame, metrics: DataFrame) -> DataFrame:
-    """(metric, value): the rows of four layers, and the duplicate ids of the first two."""
-    counts = {"bronze_rows": bronze, "silver_rows": silver, "bar_rows": bars, "metric_rows": metrics}
-    parts = [df.agg(F.count("*").alias("value")).select(F.lit(n).alias("metric"), "value") for n, df in counts.items()]
-    for name, df in (("bronze_duplicates", bronze), ("silver_duplicates", silver)):
-        parts.append(duplicate_count(df, "event_id").select(F.lit(name).alias("metric"), F.col("duplicate_count").alias("value")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    """(metric, value): the rows of four layers, and the duplicate ids of the first two; one aggregation for each layer."""
+    out = None
+    for name, df, dated in (("bronze", bronze, True), ("silver", silver, True), ("bar", bars, False), ("metric", metrics, False)):
+        duplicates = [(F.count("*") - F.count_distinct("event_id")).alias(f"{name}_duplicates")] if dated else []
+        row = df.agg(F.count("*").alias(f"{name}_rows"), *duplicates)
+        part = row.unpivot([], row.columns, "metric", "value")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -47,6 +47,7 @@ def with_calendar(bronze: DataFrame, ts: str = "ingestion_ts") -> DataFrame:
 
 def with_quality_flag(bronze: DataFrame) -> DataFrame:
     """Ticks of rows with status OK, flagged. Zero counts as negative; NaN passes, as it is not below zero."""
+    # fixed values: the flags and the columns of the silver table
     flag = (
         F.when(F.col("source_event_ts").isNull(), "NULL_EVENT_TS")
         .when(F.col("price_usd").isNull(), "NULL_PRICE")

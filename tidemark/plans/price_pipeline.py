@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.prices import BAR_KEY, METRIC_KEY, clean_ticks, metrics_since, ohlc_bars, price_metrics, with_calendar
+from tidemark.operators.prices import BAR_KEY, METRIC_KEY, clean_ticks, metrics_since, ohlc_bars, price_metrics_sliced, with_calendar
 from tidemark.schemas import BARS, BRONZE_PRICES, METRICS, SILVER_TICKS
 from tidemark.sources import tables
 
@@ -28,8 +28,16 @@ def ingest(bronze: DataFrame, path: str, fmt: str = "parquet") -> None:
     tables.append(with_calendar(bronze), path, ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"], fmt)
 
 
-def to_silver(spark: SparkSession, paths: Paths, fmt: str = "parquet") -> None:
-    ticks = clean_ticks(tables.read_or_empty(spark, paths.bronze, BRONZE_PRICES, fmt)).select(*SILVER_TICKS.fieldNames())
+def to_silver(spark: SparkSession, paths: Paths, since: str | None = None, fmt: str = "parquet") -> None:
+    """since: only bronze rows that arrived from that day on are read; the partitions before are passed over.
+
+    A tick is kept as it first came, so an id that was there before stays as it is.
+    """
+    bronze = tables.read_or_empty(spark, paths.bronze, BRONZE_PRICES, fmt)
+    if since and "ingest_year" in bronze.columns:
+        day = [F.lit(int(x)) for x in since.split("-")]
+        bronze = bronze.filter(F.struct("ingest_year", "ingest_month", "ingest_day") >= F.struct(*day))
+    ticks = clean_ticks(bronze).select(*SILVER_TICKS.fieldNames())
     tables.merge_insert_only(spark, paths.silver, ticks, ["event_id"], ["processing_date"], fmt)
 
 
@@ -47,7 +55,8 @@ def to_metrics(spark: SparkSession, paths: Paths, since: str | None = None, fmt:
     if since:
         rows = metrics_since(bars, bars.filter(F.col("trade_date") >= F.lit(since).cast("date")))
     else:
-        rows = price_metrics(bars)
+        # by days of a series, as one series may be too long for a task
+        rows = price_metrics_sliced(bars)
     rows = rows.withColumn("metric_date", F.to_date("metric_ts"))
     tables.merge_upsert(spark, paths.metrics, rows, METRIC_KEY, "metric_date", fmt)
 
@@ -55,11 +64,11 @@ def to_metrics(spark: SparkSession, paths: Paths, since: str | None = None, fmt:
 def run_price_pipeline(spark: SparkSession, bronze: DataFrame | None, paths: Paths, width: str = "1 minute", since: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Append bronze rows, if any, and bring the three tables behind them up to date. Running it again changes nothing.
 
-    since: the first day that the new rows touch, if it is known; older bars are then left alone.
+    since: the first day on which new rows have arrived and that they touch, if it is known; older bronze rows and bars are then left alone.
     """
     if bronze is not None:
         ingest(bronze, paths.bronze, fmt)
-    to_silver(spark, paths, fmt)
+    to_silver(spark, paths, since, fmt)
     to_bars(spark, paths, width, since, fmt)
     to_metrics(spark, paths, since, fmt)
     return tables.read_or_empty(spark, paths.metrics, METRICS, fmt).select(*METRICS.fieldNames())

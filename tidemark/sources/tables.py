@@ -7,8 +7,6 @@ it touches; readers may see some partitions before others. With Delta on the cla
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,40 +71,55 @@ def upserted(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame
     return target.join(source.select(*keys), keys, "left_anti").select(*source.columns).unionByName(source)
 
 
-def reject_bad_keys(source: DataFrame, keys: list[str]) -> None:
-    """Null keys never match and repeated ones match twice: neither can be merged."""
-    nulls = " or ".join(f"{k} is null" for k in keys)
-    if not source.filter(nulls).isEmpty():
-        raise ValueError(f"null in merge keys {keys}")
-    if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
-        raise ValueError(f"merge keys {keys} repeat in the source")
-
-
-def merge_insert_only(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], fmt: str = "parquet") -> None:
-    """Add the rows whose keys are new; rows that are there stay as they are."""
+def _staged(spark: SparkSession, source: DataFrame, path: str, keys: list[str], by: list[str], fmt: str) -> tuple[str, DataFrame, list]:
+    """source written beside the table, so that it is computed once; its folder, and the values of the columns `by` that it has.
+
+    Null keys never match and repeated ones match twice: neither can be merged, and both are refused. What reaches the driver is a row for
+    each partition that source touches.
+    """
+    place = f"{path.rstrip('/')}.source-{uuid.uuid4()}"
+    source.write.format(fmt).save(place)
+    rows = read(spark, place, fmt, source.schema)
+    null = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(null).alias("_null"), *[F.first(c).alias(f"_by_{i}") for i, c in enumerate(by)])
+    counts = counts.groupBy(*[F.col(f"_by_{i}").alias(f"_by_{i}") for i in range(len(by))]).agg(F.max("_n").alias("_n"), F.max("_null").alias("_null"))
+    found = counts.collect()
+    wrong = "null in merge keys" if any(r["_null"] for r in found) else "repeated rows for merge keys" if any((r["_n"] or 0) > 1 for r in found) else ""
+    if wrong:
+        remove(spark, place)
+        raise ValueError(f"{wrong} {keys}")
+    return place, rows, [r[0] for r in found]
+
+
+def merge_insert_only(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], fmt: str = "parquet", within: str | None = None) -> None:
+    """Add the rows whose keys are new; rows that are there stay as they are.
+
+    within: a condition on the table that holds for every row whose key the source may repeat, such as a range of partitions; only those
+    are then read for their keys.
+    """
     ensure(spark, path, source.schema, by, fmt)
-    reject_bad_keys(source, keys)
+    place, rows, _ = _staged(spark, source, path, keys, by, fmt)
     if fmt == "delta":
-        _delta_merge(spark, path, source, keys, update=False)
+        _delta_merge(spark, path, rows, keys, update=False)
     else:
-        append(inserted(read_or_empty(spark, path, source.schema, fmt), source, keys), path, by, fmt)
+        old = read_or_empty(spark, path, source.schema, fmt)
+        append(inserted(old.filter(within) if within else old, rows, keys), path, by, fmt)
+    remove(spark, place)
 
 
 def merge_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: str, fmt: str = "parquet") -> None:
     """Put in the rows of source. Only the partitions (column `by`, a function of the keys) that source has rows of are rewritten."""
     ensure(spark, path, source.schema, [by], fmt)
-    reject_bad_keys(source, keys)
+    place, rows, days = _staged(spark, source, path, keys, [by], fmt)
     if fmt == "delta":
-        return _delta_merge(spark, path, source, keys, update=True)
-    # a few values for each run: the days that the source touches
-    days = [r[0] for r in source.select(by).distinct().collect()]
-    if not days:
-        return None
-    old = read_or_empty(spark, path, source.schema, fmt).filter(F.col(by).isin(days))
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4()}"
-    upserted(old, source, keys).write.format(fmt).save(staging)
-    overwrite(read(spark, staging, fmt), path, [by], fmt, partitions_only=True)
-    return remove(spark, staging)
+        _delta_merge(spark, path, rows, keys, update=True)
+    elif days:
+        old = read_or_empty(spark, path, source.schema, fmt).filter(F.col(by).isin(days))
+        staging = f"{path.rstrip('/')}.staging-{uuid.uuid4()}"
+        upserted(old, rows, keys).write.format(fmt).save(staging)
+        overwrite(read(spark, staging, fmt, source.schema), path, [by], fmt, partitions_only=True)
+        remove(spark, staging)
+    remove(spark, place)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -116,10 +129,15 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def merge_sql(path: str, source: str, keys: list[str], update: bool) -> str:
+    """The MERGE of a view into a Delta table."""
+    same = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    return f"MERGE INTO delta.`{path}` t USING {source} s ON {same}" + " WHEN MATCHED THEN UPDATE SET *" * update + " WHEN NOT MATCHED THEN INSERT *"
+
+
 def _delta_merge(spark: SparkSession, path: str, source: DataFrame, keys: list[str], update: bool) -> None:
     source.createOrReplaceTempView("_merge_source")
-    same = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    spark.sql(f"MERGE INTO delta.`{path}` t USING _merge_source s ON {same}" + " WHEN MATCHED THEN UPDATE SET *" * update + " WHEN NOT MATCHED THEN INSERT *")
+    spark.sql(merge_sql(path, "_merge_source", keys, update))
 
 
 def commit(spark: SparkSession, df: DataFrame, path: str, version: int, at, fmt: str = "parquet") -> None:
@@ -154,11 +172,3 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
-
-
-def in_batch(write: Callable[[DataFrame], None], df: DataFrame) -> int:
-    """Write a frame unless it is empty; its rows, counted once."""
-    n = df.count()
-    if n:
-        write(df)
-    return n

@@ -14,14 +14,18 @@ from tidemark.schemas import AUDIT, BRONZE_EVENTS, LOG_RECORD
 from tidemark.sources import tables
 
 
+def kafka_options(place: str, topic: str, starting: str = "latest") -> dict[str, str]:
+    """Spark's options for reading a topic: fixed names."""
+    return {"kafka.bootstrap.servers": place, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false"}
+
+
 def log_source(spark: SparkSession, place: str, topic: str | None = None, starting: str = "latest", fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
     """A stream of log records. With a topic, place names Kafka brokers (its jar must be there); else a folder of record files.
 
     Files are always read from the start, as a new checkpoint makes them.
     """
     if topic:
-        options = {"kafka.bootstrap.servers": place, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false"}
-        return spark.readStream.format("kafka").options(**options).load()
+        return spark.readStream.format("kafka").options(**kafka_options(place, topic, starting)).load()
     return table_source(spark, place, LOG_RECORD, fmt, files_per_batch)
 
 
