@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import ODD, components, frame, shingles
 from tidemark.llm import near_dedup
@@ -89,3 +90,16 @@ def test_link_within_compares_all():
     sets = [np.arange(i, i + 100).astype(np.uint64) for i in range(0, 40, 5)]
     assert near_dedup.link_within(sets, list(range(8)), 85) == [(i, i + 1) for i in range(7)]
     assert near_dedup.link_within([], [], 85) == [] and pa
+
+
+def test_ids_that_are_text(spark, texts):
+    df = frame(spark, texts).select("text", F.concat(F.lit("d"), F.format_string("%04d", "doc_id")).alias("doc_id"))
+    got = {int(r.id[1:]): int(r.component[1:]) for r in near_dedup.near_duplicates(df, k=3, percent=85).collect()}
+    assert got == components(dict(enumerate(texts)), 3, 85)
+
+
+def test_leaders_of_large_buckets(spark, texts, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 1)
+    got = near_dedup.near_duplicates(frame(spark, texts), k=5, percent=80, bands=4, rows=1).collect()
+    want = components(dict(enumerate(texts)), 5, 80)
+    assert all(want[r.component] == want[r.id] for r in got)

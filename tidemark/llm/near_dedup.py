@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.runtime import materialize, prepare
+from tidemark.llm.runtime import by_bytes, chosen, discard, materialize, prepare, tuned
 from tidemark.llm.textkit import U, constants, mix, shingles
 
 #: Bands of rows: at similarity 0.85 a pair shares no band with probability 4e-5, at 0.9 with 1e-8.
@@ -63,7 +63,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             values, at = shingles(batch.column(1), k)
             n = np.diff(at)
             # sums over each set, which are the same whatever the order
@@ -81,24 +81,27 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 
 def verify(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int, share: int = 64) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union. texts_of(ids): (id, text) of those ids.
+    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union, written. texts_of(ids): (id, text) of those ids.
 
     The partners of one text are dealt out in lots of about `share`, each with its own copy of that text, so that a text with
     very many partners is spread over tasks; a task holds the set of one such text and one Arrow batch at a time.
     """
     kind = pairs.schema["a"].dataType.simpleString()
+    pairs = materialize(pairs)
     # written, so that the join stands by itself and Spark can split a text with very many partners
     fan = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / share).alias("lots")))
-    dealt = materialize(pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b"), release=True)
+    dealt = materialize(pairs.join(fan, "a").select("a", F.expr("pmod(xxhash64(b, a), lots)").alias("lot"), "b"))
+    discard(pairs, fan)
+    ids = dealt.select(F.explode(F.array("a", "b")).alias("id"))
     roles = dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role")).union(
         dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
     )
     # a lot's first text leads
-    lots = roles.join(texts_of(roles.select("id").distinct()), "id").repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "id")
+    lots = roles.join(texts_of(ids), "id").repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "id")
 
     def run(batches):
         lead, of = [], None
-        for batch in batches:
+        for batch in by_bytes(batches, 4):
             values, at = shingles(batch.column(4), k)
             a, lot, role, ids = (batch.column(i).to_pylist() for i in range(4))
             good_a, good_b = [], []
@@ -112,9 +115,11 @@ def verify(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int,
                 if any(similar(own, other, percent) for other in lead):
                     good_a.append(a[i])
                     good_b.append(ids[i])
-            yield pa.RecordBatch.from_arrays([pa.array(good_a, batch.column(1).type), pa.array(good_b, batch.column(3).type)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(good_a, batch.column(0).type), pa.array(good_b, batch.column(3).type)], ["a", "b"])
 
-    return lots.select("a", "lot", "role", "id", "text").mapInArrow(run, f"a {kind}, b {kind}")
+    out = materialize(lots.select("a", "lot", "role", "id", "text").mapInArrow(run, f"a {kind}, b {kind}"))
+    discard(dealt)
+    return out
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -126,7 +131,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 #: Texts of one bucket that a task compares at a time are at most about twice so many.
-BLOCK = 500
+BLOCK = 1000
 
 
 class Sets:
@@ -174,22 +179,22 @@ def link_within(sets: list[np.ndarray], groups: list, percent: int) -> list[tupl
 
 
 def settle(left: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int) -> DataFrame:
-    """Links (a, b) between components of left (bucket, rep, component): all pairs of a bucket are compared on their full sets.
+    """Links (a, b) between components of left (bucket, rep, component), written: all pairs of a bucket are compared on their full sets.
 
-    The comparison happens inside tasks and gives one link at most for two components that meet. A bucket of more than 1000
-    members is cut into blocks of about 500, and each two blocks are a task of their own.
+    The comparison happens inside tasks and gives one link at most for two components that meet. A bucket of more than 2 * BLOCK
+    members is cut into blocks, and each two blocks are a task of their own.
     """
     kind = left.schema["rep"].dataType.simpleString()
     blocks = left.groupBy("bucket").agg(F.when(F.count("*") > 2 * BLOCK, F.ceil(F.count("*") / BLOCK)).otherwise(1).alias("m"))
     lots = f"""if(m = 1, array(0L), transform(filter(sequence(0L, m - 1), x -> x <> pmod(xxhash64(rep), m)),
                x -> least(x, pmod(xxhash64(rep), m)) * m + greatest(x, pmod(xxhash64(rep), m))))"""
     dealt = left.join(blocks, "bucket").select("bucket", F.explode(F.expr(lots)).alias("lot"), "rep", "component")
-    texts = texts_of(left.select(F.col("rep").alias("id")).distinct())
-    rows = dealt.join(texts, F.col("rep") == F.col("id")).repartition("bucket", "lot").sortWithinPartitions("bucket", "lot", "rep")
+    ids = left.select(F.col("rep").alias("id"))
+    rows = dealt.join(texts_of(ids), F.col("rep") == F.col("id")).repartition("bucket", "lot").sortWithinPartitions("bucket", "lot", "rep")
 
     def run(batches):
         of, sets, groups, reps, schema = None, [], [], [], None
-        for batch in batches:
+        for batch in by_bytes(batches, 4):
             schema = batch.schema
             values, at = shingles(batch.column(4), k)
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
@@ -210,29 +215,79 @@ def settle(left: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int,
             found = link_within(sets, groups, percent)
             yield pa.RecordBatch.from_arrays([pa.array([reps[x] for x, _ in found], schema.field(2).type), pa.array([reps[y] for _, y in found], schema.field(2).type)], ["a", "b"])
 
-    return rows.select("bucket", "lot", "rep", "component", "text").mapInArrow(run, f"a {kind}, b {kind}")
+    return materialize(rows.select("bucket", "lot", "rep", "component", "text").mapInArrow(run, f"a {kind}, b {kind}"))
 
 
-def link_classes(classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, components) among classes (rep, bands) whose texts are texts_of(ids). A class may stand in several rows.
+#: Further leaders that large buckets are compared with before they are settled pair by pair.
+LEADERS = 3
+
+
+def link_classes(
+    classes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], k: int, percent: int,
+    possible: Callable[[DataFrame], DataFrame] | None = None, finer: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(links, components), written, among classes (rep, bands), whose texts are texts_of(ids).
 
     Candidates share a band. First the least member of each bucket, which buckets of one group have in common, is compared with
-    all others of its bucket; that joins most of what belongs together at one comparison a member. Then the buckets that still
-    hold two components or more are settled pair by pair. So each candidate pair is compared or in one component; none is dropped.
+    all others of its bucket; that joins most of what belongs together at one comparison a member. In large buckets that then still
+    hold two components, up to LEADERS further members, picked by a hash, are compared with the members of other components. At last
+    the buckets that hold two components are settled pair by pair. So each candidate pair is compared or in one component; none is dropped.
+
+    possible(pairs): the pairs (a, b) without some that are known not to be similar. finer(members): the buckets of members (bucket,
+    rep) split further, where that is known to keep similar ones together. classes is read up to the first comparison only.
     """
     members = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most")
-    left = materialize(members.join(shared.select("bucket", "least"), "bucket").distinct(), release=True)
-    pairs = left.filter("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = materialize(pairs, release=True)
-    links = materialize(verify(pairs, texts_of, k, percent), release=True)
-    labels = materialize(connected_components(links)).withColumnRenamed("node", "rep")
-    rest = left.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    rest = materialize(rest.select("bucket", "rep", "component"))
+    # counted before the shuffle as far as it goes, and buckets of one member are gone after it
+    shared = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
+    both = materialize(members.join(shared, "bucket").select("bucket", "rep"))
+    discard(shared)
+    least = both.groupBy("bucket").agg(F.min("rep").alias("least"))
+    left = materialize(both.join(least, "bucket").filter("rep <> least").select("bucket", "least", "rep"))
+    discard(both)
+    compared = lambda pairs: verify(possible(pairs) if possible else pairs, texts_of, k, percent)
+    links = compared(left.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
+    # the least members have been compared with all others, so they are left out from here on
+    parts, labels = [links], connected_components(links)
+    rest = _mixed(left, labels)
+    discard(left)
+    if finer:
+        coarse, rest = rest, _mixed(finer(rest.select("bucket", "rep")), labels)
+        discard(coarse)
+    for turn in range(LEADERS):
+        large = rest.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * BLOCK).select("bucket")
+        if large.isEmpty():
+            break
+        open_ = rest.join(large, "bucket")
+        leads = open_.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("turn"), "rep", "component")).alias("lead"))
+        pairs = open_.join(leads, "bucket").filter("component <> lead.component").select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"))
+        parts.append(compared(pairs.distinct()))
+        discard(labels)
+        labels = connected_components(_union(parts))
+        old, rest = rest, _mixed(rest, labels)
+        discard(old)
+    if not rest.isEmpty():
+        parts.append(settle(rest, texts_of, k, percent))
+        if not parts[-1].isEmpty():
+            discard(labels)
+            labels = connected_components(_union(parts))
+    discard(rest)
+    return _union(parts), labels
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def _mixed(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, rep, component), written: the buckets of left that hold two components."""
+    rest = materialize(left.select("bucket", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component")))
     mixed = rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = materialize(rest.join(mixed.select("bucket"), "bucket"), release=True)
-    links = links.union(materialize(settle(rest, texts_of, k, percent), release=True))
-    return links, materialize(connected_components(links))
+    out = materialize(rest.join(mixed.select("bucket"), "bucket").select("bucket", "rep", "component"))
+    discard(rest)
+    return out
 
 
 def near_duplicates(
@@ -254,7 +309,7 @@ def near_duplicates(
     kinds = materialize(sets.groupBy(*key).agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")))
     classes = kinds.drop("bands")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    links, labels = link_classes(kinds, lambda ids: texts.join(ids, "id"), k, percent)
+    links, labels = link_classes(kinds, lambda ids: chosen(texts, ids), k, percent)
     if _repeats(sets):
         # an id that stands for one class is a member of another too
         twins = sets.join(classes, key).select(F.col("rep").alias("a"), F.col("id").alias("b"))
@@ -271,7 +326,7 @@ def _repeats(sets: DataFrame) -> bool:
 
 def op4_minhash(spark, sf_dir: str) -> DataFrame:
     """Near-duplicates of all documents: 3-word shingles, similarity of 0.85 or more."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tuned(spark).read.parquet(f"{sf_dir}/documents.parquet")
     out = near_duplicates(docs, k=3, percent=85)
     return out.select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
