@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import materialize, prepare
+from tidemark.llm.runtime import materialize, prepare, tuned
 
 #: What one task rounds at a time, and how many residuals meet in one node of the tree.
 LEAF, FAN = 1024, 64
@@ -94,13 +94,15 @@ def mix_sources(
     """(id, source, size, source_size, target, copies): how often the mix takes each row.
 
     A row's expected copies are its source's target over its source's size. The whole part is certain; the fractions are rounded
-    by pivotal sampling in lots of about 1024 rows dealt by a hash of the row and of its number among equal rows; each lot hands on one
-    residual at most, and residuals of 64 lots meet in the next level until one is left for each source, which a single draw
-    settles. Draws depend on the seed, level and lot only, so that reruns agree. A source's copies then differ from their
-    expectation by less than one. A lot is rounded once, in order of size, so that neighbours in size trade with each other.
+    by pivotal sampling in lots of about 1024 rows of like size (to a factor of two), dealt by a hash of the row and of its number among
+    equal rows; each lot hands on one residual at most, and residuals of 64 lots, neighbours in size, meet in the next level until one is
+    left for each source, which a single draw settles. Draws depend on the seed, level and lot only, so that reruns agree. A source's
+    copies then differ from their expectation by less than one. A lot is rounded once, in order of size, so that neighbours in size
+    trade with each other, and the words taken come near the target although each row keeps its probability.
 
     Null or blank text: size 0, and its copies are rounded like any other. Null source: a source of its own, last in order. Null
-    id: dealt and rounded like others, in as many lots. Rows that repeat are rounded one by one. Empty table: empty result.
+    id: dealt and rounded like others, in as many lots. Rows that repeat are rounded one by one. Empty table: empty result. Extra
+    columns are ignored.
     """
     prepare(docs.sparkSession)
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
@@ -110,19 +112,27 @@ def mix_sources(
     sizes = sizes.withColumn("turn", F.explode(F.expr("sequence(block * 1000, least(n, block * 1000 + 1000) - 1)")))
     sizes = materialize(sizes.select("id", "source", "size", "turn"))
     targets = materialize(source_targets(sizes, weights, share, most))
-    # two numbers: how many levels the largest source needs
-    most_lots = targets.agg(F.max(F.ceil(F.col("rows") / LEAF))).first()[0] or 1
-    rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    # lots of each size class, numbered in order of size: a few rows for each source
+    stratum = F.floor(F.log2(F.col("size") + 1)).cast("int")
+    lots = sizes.groupBy("source", stratum.alias("stratum")).agg(F.ceil(F.count("*") / LEAF).alias("lots"))
+    before = Window.partitionBy("source").orderBy("stratum").rowsBetween(Window.unboundedPreceding, -1)
+    lots = lots.withColumn("before", F.coalesce(F.sum("lots").over(before), F.lit(0)))
+    plan = lots.join(targets, lots["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    plan = materialize(plan.withColumnRenamed("source", "of").drop("rows"))
+    # one number: how many levels the source with the most lots needs
+    most_lots = plan.agg(F.max(F.col("before") + F.col("lots"))).first()[0] or 1
+    rows = sizes.withColumn("stratum", stratum).join(plan.withColumnRenamed("stratum", "like"), F.col("source").eqNullSafe(F.col("of")) & (F.col("stratum") == F.col("like")))
     whole = F.floor("rate")
-    rows = rows.withColumns({"copies": whole.cast("long"), "p": F.col("rate") - whole, "lot": F.expr(f"pmod(xxhash64(id, size, turn), cast(ceil(rows / {LEAF}) as long))")})
+    lot = F.col("before") + F.pmod(F.xxhash64("id", "size", "turn"), F.col("lots"))
+    rows = rows.withColumns({"copies": whole.cast("long"), "p": F.col("rate") - whole, "lot": lot.cast("long")})
     kind = docs.schema[id_col].dataType.simpleString()
     shape = f"id {kind}, source string, size long, place int, source_size long, target double, copies long, p double, lot long"
     columns = [c.split()[0] for c in shape.split(", ")]
-    level, lots, open_, settled = 0, most_lots, rows.select(*columns), None
+    level, left, open_, settled = 0, most_lots, rows.select(*columns), None
     while True:
         done = materialize(open_.groupBy("place", "lot").applyInPandas(_rounded(seed, level), shape))
         residual = (F.col("p") > 0) & (F.col("p") < 1)
-        if lots <= 1:
+        if left <= 1:
             last = F.when(residual, F.expr(f"cast((pmod(xxhash64(place, {seed}), 1000003) + 0.5) / 1000003 < p as double)")).otherwise(F.col("p"))
             done = done.withColumn("p", last)
             settled = done if settled is None else settled.union(done)
@@ -130,13 +140,13 @@ def mix_sources(
         kept = done.filter(~residual)
         settled = kept if settled is None else settled.union(kept)
         open_ = done.filter(residual).withColumn("lot", F.floor(F.col("lot") / FAN)).select(*columns)
-        lots = -(-lots // FAN)
+        left = -(-left // FAN)
         level += 1
     return settled.select("id", "source", "size", "source_size", "target", (F.col("copies") + F.round("p").cast("long")).alias("copies"))
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents at weights 3, 1, 2 for 150% of all words."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tuned(spark).read.parquet(f"{sf_dir}/documents.parquet")
     out = mix_sources(docs)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
