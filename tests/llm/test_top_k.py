@@ -24,7 +24,7 @@ def brute(vectors, queries, k):
 def test_aggregation_keeps_the_best(n, dims, k, seed, spread):
     rng = np.random.default_rng(seed)
     vectors, queries = rng.integers(-spread, spread + 1, (n, dims)), rng.integers(-spread, spread + 1, (5, dims))
-    for q, left in zip(queries, t.aggregate(queries, vectors, k)):
+    for q, left in zip(queries, t.aggregate(queries, t.Lists(vectors), k)[0]):
         scores = vectors @ q
         bar = np.sort(scores)[-min(k, n)]
         assert set(np.flatnonzero(scores >= bar)) <= set(left.tolist())
@@ -33,7 +33,45 @@ def test_aggregation_keeps_the_best(n, dims, k, seed, spread):
 def test_reading_stops_early():
     rng = np.random.default_rng(0)
     vectors = rng.integers(0, 50, (2000, 2))
-    assert all(len(x) < 200 for x in t.aggregate(rng.integers(1, 9, (10, 2)), vectors, 3))
+    left, read = t.aggregate(rng.integers(1, 9, (10, 2)), t.Lists(vectors), 3)
+    assert all(len(x) < 200 for x in left) and read < 10 * 2 * 2000 / 2
+
+
+@pytest.mark.parametrize("n", [1000, 8000])
+def test_entries_read_on_skewed_vectors(n):
+    """A few large components decide: the lists are read to a small part, whatever their length."""
+    rng = np.random.default_rng(3)
+    vectors = np.floor(rng.pareto(1.2, (n, 8)) * 10).astype(np.int64)
+    queries = rng.integers(1, 20, (16, 8))
+    left, read = t.aggregate(queries, t.Lists(vectors), 5)
+    for q, x in zip(queries, left):
+        scores = vectors @ q
+        assert set(np.flatnonzero(scores >= np.sort(scores)[-5])) <= set(x.tolist())
+    assert read <= 0.1 * 16 * 8 * n
+
+
+def test_large_components_are_exact_or_an_error():
+    vectors = np.array([[1 << 40, 1], [1 << 40, 2], [3, 4]])
+    assert t.aggregate(np.array([[1 << 20, 1]]), t.Lists(vectors), 1)[0][0].tolist() == [0, 1, 2]
+    with pytest.raises(OverflowError):
+        t.aggregate(np.array([[1 << 40, 1]]), t.Lists(vectors), 1)
+
+
+def test_components_that_do_not_fit(spark):
+    df = spark.createDataFrame([(1, [1e30]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit"):
+        t.top_k(df, df).collect()
+
+
+def test_extra_columns_and_several_lots(spark, monkeypatch):
+    monkeypatch.setattr(t, "LOT", 3)
+    monkeypatch.setattr(t, "SHARD", 6)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 3)], "id", 1, 2, "v", 7, 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, shard int, lot int, v string, size int, role int")
+    got = sorted(tuple(r) for r in t.top_k(df, df, 4).collect())
+    whole = [(r[0], [math.floor(256 * x) for x in r[1]]) for r in rows]
+    assert got == brute(whole, whole, 4)
 
 
 @pytest.mark.parametrize(("shard", "block"), [(8192, 128), (7, 3)])
