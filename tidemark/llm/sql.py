@@ -1,5 +1,6 @@
 """SQL twins of the operators that SQL can express: the definition itself, by comparing all pairs and walking all links."""
 
+from tidemark.llm.substring_dedup import LENGTHS, LONGEST, REACH, SCATTER, SIZE
 from tidemark.llm.top_k import OP8_SQL
 from tidemark.llm.url_filter import GOAL, HREF, LINK, REFRESH, RULES, TRACKING, rule_parts
 
@@ -25,22 +26,37 @@ c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON c.x = s.doc_id
 """
 
+def place_number() -> str:
+    """A place's number (see substring_dedup), from the lengths of the words from there on."""
+    digits = " + ".join(f"least(lead(length(word), {j}, 0) OVER d, {LONGEST}) * CAST({(LONGEST + 1) ** j} AS HUGEINT)" for j in range(LENGTHS))
+    return f"(({digits}) * {SCATTER} % 18446744073709551616) // 4294967296"
+
+
 OP10_SQL = f"""
-WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE doc_id IS NOT NULL),
-o AS (SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin,
-             {WORDS % 'line'} AS w FROM l),
-s AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS paragraph, begin, CAST(begin + length(line) AS BIGINT) AS finish, CAST(len(w) AS INTEGER) AS n_words,
-             list_distinct(list_transform(range(1, len(w) - 3), lambda j: concat_ws(' ', w[j], w[j + 1], w[j + 2], w[j + 3], w[j + 4]))) AS sh,
-             row_number() OVER (ORDER BY doc_id, i) AS id FROM o WHERE len(w) >= 20),
-e AS (SELECT id, len(sh) AS n, unnest(sh) AS x FROM s),
+WITH RECURSIVE t AS (SELECT doc_id, {WORDS % 'text'} AS w, list_transform(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+'), lambda x: length(x)) AS g
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+u AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(g) AS g, generate_subscripts(w, 1) - 1 AS i FROM t WHERE len(w) >= {SIZE}),
+v AS (SELECT doc_id, n, i, sum(g) OVER (PARTITION BY doc_id ORDER BY i) AS finish, length(word) AS l, {place_number()} AS number FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+keyed AS (SELECT doc_id, n, i, number * 4294967296 + 4294967295 - i AS key FROM v WHERE i <= n - {SIZE}),
+looked AS (SELECT doc_id, n, i, min(key) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {REACH - 1} FOLLOWING) AS key FROM keyed),
+anchors AS (SELECT DISTINCT doc_id, CAST(4294967295 - key % 4294967296 AS BIGINT) AS i FROM looked WHERE i <= greatest(n - {SIZE} - {REACH - 1}, 0)),
+sets AS (SELECT a.doc_id, a.i, list_sort(list_distinct(list_transform(range(1, {SIZE - 3}),
+  lambda j: concat_ws(' ', w[i + j], w[i + j + 1], w[i + j + 2], w[i + j + 3], w[i + j + 4])))) AS sh FROM anchors a JOIN t ON t.doc_id = a.doc_id),
+steps AS (SELECT *, CASE WHEN sh = lag(sh) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS step FROM sets),
+runs AS (SELECT *, sum(step) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps),
+s AS (SELECT doc_id, min(i) AS a, max(i) + {SIZE} - 1 AS z, any_value(sh) AS sh FROM runs GROUP BY doc_id, run),
+kinds AS (SELECT row_number() OVER () AS id, sh FROM (SELECT DISTINCT sh FROM s)),
+e AS (SELECT id, len(sh) AS n, unnest(sh) AS x FROM kinds),
 p AS (SELECT a.id AS a, b.id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2),
 links AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
-nodes AS (SELECT id AS x FROM s),
+nodes AS (SELECT id AS x FROM kinds),
 {walk('links', 'nodes')},
-c AS (SELECT x, min(y) AS first_id FROM reach GROUP BY x),
-m AS (SELECT s.*, c.first_id, f.doc_id AS first_doc, f.paragraph AS first_paragraph, max(s.doc_id) OVER (PARTITION BY c.first_id) AS last_doc
-      FROM s JOIN c ON c.x = s.id JOIN s f ON f.id = c.first_id)
-SELECT doc_id, paragraph, begin AS start, finish AS "end", n_words, first_doc, first_paragraph, id <> first_id AS removed FROM m WHERE last_doc > first_doc
+c AS (SELECT x, min(y) AS cluster FROM reach GROUP BY x),
+o AS (SELECT s.doc_id, CAST(f.finish - f.l AS BIGINT) AS start, CAST(l.finish AS BIGINT) AS finish, CAST(z - a + 1 AS INTEGER) AS n_words, cluster
+  FROM s JOIN kinds USING (sh) JOIN c ON c.x = kinds.id JOIN v f ON f.doc_id = s.doc_id AND f.i = a JOIN v l ON l.doc_id = s.doc_id AND l.i = z),
+m AS (SELECT *, min(doc_id) OVER k AS first_doc, max(doc_id) OVER k AS last_doc FROM o WINDOW k AS (PARTITION BY cluster)),
+h AS (SELECT cluster, min(start) AS first_start FROM m WHERE doc_id = first_doc GROUP BY cluster)
+SELECT doc_id, start, finish AS "end", n_words, first_doc, first_start, doc_id <> first_doc AS removed FROM m JOIN h USING (cluster) WHERE last_doc > first_doc
 """
 
 
