@@ -76,3 +76,12 @@ def test_query_on_all_pages(spark, sf):
     for r in got:
         rule, verdict = rule_of(*parts(urls[r.page_id]), url_filter.RULES)
         assert (r.host, r.path) == parts(urls[r.page_id]) and r.rule == rule and r.verdict == (verdict or r.verdict)
+
+
+def test_without_spelling_only_links_join_pages(spark):
+    rows = [(1, "http://bad.com/en/1", None), (2, "http://a.io/x", '<link rel=canonical href="http://bad.com/en/1">'), (3, "http://www.a.io/x", None), (4, "http://a.io/x", None)]
+    # columns with names of our own are ignored
+    df = spark.createDataFrame([(*r, "c", "k", 1, "v") for r in rows], "page_id long, url string, html string, component string, key string, id int, host string")
+    for spelling, want in ((True, ["block"] * 4), (False, ["block", "block", "allow", "block"])):
+        got = url_filter.filter_urls(df, url_filter.RULES, spelling=spelling).orderBy("id").collect()
+        assert [r.verdict for r in got] == want and [r.id for r in got] == [1, 2, 3, 4]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.runtime import ascii_lower, materialize, prepare
+from tidemark.llm.runtime import ascii_lower, materialize, prepare, tuned
 
 #: Above so many rules they are joined by host instead of being part of the expression.
 FEW = 100
@@ -82,7 +82,7 @@ def match_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
 
 def filter_urls(
     pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html",
-    redirects: DataFrame | None = None,
+    redirects: DataFrame | None = None, spelling: bool = True,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, component): the verdict on each page.
 
@@ -90,21 +90,24 @@ def filter_urls(
     component: pages are equivalent if their addresses differ only in spelling (see alias_key), if one names the other as
     canonical or refreshes to it, or if redirects (src, dst: two address columns) links them. Rules are also read against
     addresses that are only linked to. In a component an explicit allow outweighs any block; without either, pages are allowed.
+    spelling=False: only links join pages, and addresses are one if they are equal. Of a page the first canonical link and the first refresh
+    count.
 
     Null addresses, or without ://, have empty host and path, no component, and are allowed. Null html: no links. Rows that
     repeat get the same verdict. Empty table: empty result. Extra columns are ignored.
     """
     prepare(pages.sparkSession)
     url = F.col("url")
+    key_of = alias_key if spelling else lambda u: F.when(host_and_path(u)[0] != "", u)
     link = lambda tag, inner: resolved(F.regexp_extract(F.regexp_extract("html", tag, 0), inner, 1), url)
     html = F.col(html_col).cast("string") if html_col else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), html.alias("html"))
-    rows = rows.select("id", "url", alias_key(url).alias("key"), F.array(link(LINK, HREF), link(REFRESH, GOAL)).alias("links"))
+    rows = rows.select("id", "url", key_of(url).alias("key"), F.array(link(LINK, HREF), link(REFRESH, GOAL)).alias("links"))
     rows = materialize(rows)
     edges = rows.select(F.col("url").alias("src"), F.explode("links").alias("dst"))
     if redirects is not None:
         edges = edges.union(redirects.select(F.col("src").cast("string"), F.col("dst").cast("string")))
-    edges = edges.filter("src is not null and dst is not null").withColumns({"a": alias_key(F.col("src")), "b": alias_key(F.col("dst"))})
+    edges = edges.filter("src is not null and dst is not null").withColumns({"a": key_of(F.col("src")), "b": key_of(F.col("dst"))})
     edges = materialize(edges.filter("a <> b"))
     labels = connected_components(edges).withColumnRenamed("node", "key")
 
@@ -128,5 +131,5 @@ RULES = [
 
 def op2_url_filter(spark, sf_dir: str) -> DataFrame:
     """The verdict on every page."""
-    out = filter_urls(prepare(spark).read.parquet(f"{sf_dir}/pages.parquet"), RULES)
+    out = filter_urls(tuned(spark).read.parquet(f"{sf_dir}/pages.parquet"), RULES)
     return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
