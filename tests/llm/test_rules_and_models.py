@@ -55,7 +55,72 @@ def test_forest_isolates_what_lies_apart():
     assert forest.score(odd).min() > forest.score(good).max()
 
 
-def test_factorisation_identity_and_gradient():
+def test_path_lengths_against_a_plain_walk():
+    rng = np.random.default_rng(4)
+    rows = rng.random((300, 3))
+    forest = qr.Forest(rows, np.zeros(3), np.ones(3), 20, 64, 2)
+
+    def walk(x, tree, node=0, depth=0):
+        feature, split, left, length = tree
+        if feature[node] < 0:
+            return depth, length[node]
+        return walk(x, tree, left[node] + int(x[feature[node]] >= split[node]), depth + 1)
+
+    def rest(n):  # the mean depth of a search that fails, in a random search tree of n keys
+        return 2 * sum(1 / i for i in range(1, n)) - 2 * (n - 1) / n if n > 1 else 0
+
+    for x in rng.random((20, 3)):
+        ends = [walk(x, tree) for tree in forest.trees]
+        # a leaf's length is its depth and the mean depth of what it still holds
+        assert all(length >= depth and depth <= forest.depth for depth, length in ends)
+        want = 2 ** (-np.mean([length for _, length in ends]) / rest(64))
+        assert forest.score(x[None, :])[0] == pytest.approx(want, rel=2e-2)
+
+
+def test_cut_has_the_least_loss(spark):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(["red", "blue", "green", "tall", "small", "runs", "walks"], 40)) for _ in range(60)]
+    texts += [" ".join(rng.choice(["##", "$$%", "|||", "red", "<><>"], 40)) for _ in range(30)]
+    df = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(90)], "doc_id long, quality int, toxic int")
+    rows = [r for r in qr.judge_texts(df, labels).collect() if not r.base_failed]
+    good, bad = (np.array([np.ceil(r.score * qr.STEPS) for r in rows if (r.id < 60) == kind]) for kind in (True, False))
+    loss = lambda cut: 20 * (good > cut).mean() + (bad <= cut).mean()
+    kept = [np.ceil(r.score * qr.STEPS) for r in rows if r.kept]
+    assert loss(max(kept)) <= min(map(loss, {*good, *bad})) + 1e-9
+
+
+def test_factorisation_gradient():
+    rng = np.random.default_rng(7)
+    x = Sparse(np.array([0, 2, 1, 2, 3, 0, 3]), rng.normal(size=7).astype(np.float32), np.array([0, 2, 5, 7]))
+    y = np.array([1.0, 0.0, 1.0], np.float32)
+
+    def loss(w, v, b):
+        out = 0.0
+        for i in range(3):
+            c, z = x.columns[x.at[i] : x.at[i + 1]], x.values[x.at[i] : x.at[i + 1]].astype(float)
+            m = b + w[c] @ z + sum(v[c[a]] @ v[c[d]] * z[a] * z[d] for a in range(len(c)) for d in range(a + 1, len(c)))
+            out += np.log1p(np.exp(-m if y[i] else m))
+        return out / 3
+
+    m = qc.Machine(4, 2, 3)
+    m.weights, m.vectors = rng.normal(size=4).astype(np.float32), rng.normal(size=(4, 2)).astype(np.float32)
+    w, v = m.weights.astype(float).copy(), m.vectors.astype(float).copy()
+    m.fit(x, y, 1, 3, 1.0, 0.0, 0)
+    # a first step is -rate * g / sqrt(g * g + 1e-4), which gives g back
+    back = lambda step: step * 1e-2 / np.sqrt(np.maximum(1 - step**2, 1e-12))
+    h = 1e-5
+    for i in range(4):
+        e = np.zeros(4)
+        e[i] = h
+        assert back(w[i] - m.weights[i]) == pytest.approx((loss(w + e, v, 0) - loss(w - e, v, 0)) / (2 * h), rel=0.02, abs=2e-4)
+        for j in range(2):
+            e = np.zeros((4, 2))
+            e[i, j] = h
+            assert back((v[i, j] - m.vectors[i, j]) / 0.3) == pytest.approx((loss(w, v + e, 0) - loss(w, v - e, 0)) / (2 * h), rel=0.02, abs=2e-4)
+
+
+def test_factorisation_identity():
     rng = np.random.default_rng(0)
     m = qc.Machine(20, 3, 1)
     m.vectors, m.weights, m.bias = rng.normal(size=(20, 3)).astype(np.float32), rng.normal(size=20).astype(np.float32), np.float32(0.3)
@@ -103,6 +168,38 @@ def test_ordinal_regression_follows_grades():
     assert (np.diff(above, axis=1) <= 1e-12).all()
 
 
+def test_ordinal_likelihood_and_gradient():
+    """Probabilities and one step of the fit against the plain formula."""
+    rng = np.random.default_rng(8)
+    x = Sparse(np.array([0, 1, 2, 0, 2, 1]), rng.normal(size=6), np.array([0, 2, 3, 5, 6]))
+    y = np.array([0, 1, 3, 2])
+
+    def loss(w, steps):
+        t = np.array([steps[0], steps[0] + np.exp(steps[1]), steps[0] + np.exp(steps[1]) + np.exp(steps[2])])
+        out = 0.0
+        for i in range(4):
+            z = sum(w[c] * v for c, v in zip(x.columns[x.at[i] : x.at[i + 1]], x.values[x.at[i] : x.at[i + 1]]))
+            below = [0.0, *(1 / (1 + np.exp(-(t - z)))), 1.0]
+            out -= np.log(below[y[i] + 1] - below[y[i]])
+        return out / 4
+
+    m = tox.Ordinal(3, 4)
+    m.weights, m.steps = rng.normal(size=3), np.array([0.3, -0.2, 0.1])
+    w, steps = m.weights.copy(), m.steps.copy()
+    for i in range(4):
+        z = sum(w[c] * v for c, v in zip(x.columns[x.at[i] : x.at[i + 1]], x.values[x.at[i] : x.at[i + 1]]))
+        assert m.above(x)[i] == pytest.approx([1 / (1 + np.exp(t - z)) for t in m.thresholds()])
+    m.fit(x, y, 1, 4, 0.5, 0.0, 0)
+    # a first step is -rate * g / sqrt(g * g + past)
+    back = lambda step, past: step * np.sqrt(past) / np.sqrt(np.maximum(1 - step**2, 1e-12))
+    h = 1e-6
+    for i in range(3):
+        e = np.zeros(3)
+        e[i] = h
+        assert back((w[i] - m.weights[i]) / 0.5, 1e-4) == pytest.approx((loss(w + e, steps) - loss(w - e, steps)) / (2 * h), rel=1e-3, abs=1e-6)
+        assert back((steps[i] - m.steps[i]) / 0.25, 1e-2) == pytest.approx((loss(w, steps + e) - loss(w, steps - e)) / (2 * h), rel=1e-3, abs=1e-6)
+
+
 def test_toxicity_on_all_documents(spark, labels):
     got = {r.doc_id: r for r in QUERIES["op9_toxicity"](spark, SF).collect()}
     assert len(got) == 1000 and all(0 <= r.severity <= 3 and r.toxic == (r.grade > 0) for r in got.values())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.quality_rules import COUNTS, count_texts, features
-from tidemark.llm.runtime import prepare
+from tidemark.llm.runtime import by_bytes, prepare, tuned
 from tidemark.llm.sparse import Sparse, fit_once, hashed_words
 from tidemark.llm.textkit import Words
 
@@ -106,7 +106,7 @@ def score_quality(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             n = batch.num_rows
             score = shared.value.score(inputs(batch.column(1))) if shared.value and n else np.full(n, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], ["id", "score", "predicted"])
@@ -121,7 +121,7 @@ def fold(id_col: str = "doc_id"):
 
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """The quality of all documents, learnt from the labels that are not held out."""
-    read = prepare(spark).read
+    read = tuned(spark).read
     labels = read.parquet(f"{sf_dir}/labels.parquet").filter(fold() != 1)
     out = score_quality(read.parquet(f"{sf_dir}/documents.parquet"), labels)
     return out.select(F.col("id").alias("doc_id"), F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import bounded_sample
+from tidemark.llm.runtime import bounded_sample, by_bytes
 from tidemark.llm.textkit import U, Words
 
 
@@ -73,10 +73,9 @@ def fit_once(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
     def run(batches):
         features, given = [], []
-        for batch in batches:
-            if batch.num_rows:
-                features.append(inputs(batch.column(1)))
-                given.append(np.column_stack([batch.column(i + 2).to_numpy() for i in range(len(label_cols))]))
+        for batch in by_bytes(batches, 1):
+            features.append(inputs(batch.column(1)))
+            given.append(np.column_stack([batch.column(i + 2).to_numpy() for i in range(len(label_cols))]))
         if features:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(Sparse.join(features), np.concatenate(given)))], pa.binary())], ["model"])
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import prepare
+from tidemark.llm.runtime import by_bytes, prepare, tuned
 from tidemark.llm.sparse import Sparse, fit_once, hashed
 from tidemark.llm.textkit import Words, constants, hash_spans, mix
 
@@ -134,7 +134,7 @@ def score_toxicity(
         if shared.value is not None:
             scorer = Ordinal(WIDTH, len(GRADES))
             scorer.weights[shared.value[0]], scorer.steps = shared.value[1], shared.value[2]
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             n = batch.num_rows
             above = scorer.above(inputs(batch.column(1))) if scorer and n else np.zeros((n, len(GRADES) - 1))
             grade = (above >= 0.5).sum(axis=1)
@@ -147,6 +147,6 @@ def score_toxicity(
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
     """The severity of all documents."""
-    read = prepare(spark).read
+    read = tuned(spark).read
     out = score_toxicity(read.parquet(f"{sf_dir}/documents.parquet"), read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select(F.col("id").alias("doc_id"), "severity", "grade", "toxic")
