@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import materialize, prepare
+from tidemark.llm.runtime import by_bytes, materialize, prepare, tuned
 
 #: Ranks are counted in lots of about so many pieces of one length.
 LOT = 500
@@ -96,12 +96,13 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return runs
 
 
-def place(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", key: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", key: str = "_row") -> DataFrame:
     """pieces with sequence_id and offset: best-fit decreasing over all of them.
 
-    pieces should be cheap to read again (a written table), as they are counted first. What reaches the driver is the histogram
-    of lengths, at most `capacity` rows, and the plan made from it. Ranks within a length are counted in lots dealt by a hash,
-    so that a length which most pieces have is spread over tasks. Lengths below 1 or above the capacity are an error.
+    pieces is a written table, as it is read twice, with a number of its own for each row in the column `key`. What reaches the driver is
+    the histogram of lengths, at most `capacity` rows, and the plan made from it. Ranks within a length are counted in lots dealt by that
+    number, so that a length which most pieces have, or a document that repeats, is spread over tasks. Lengths below 1 or above the
+    capacity are an error.
     """
     spark = pieces.sparkSession
     histogram = {r[0]: r[1] for r in pieces.groupBy(length_col).count().collect()}
@@ -111,12 +112,11 @@ def place(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", k
     lots = spark.createDataFrame([(n, m // LOT + 1) for n, m in histogram.items()], "_n long, _lots long")
     runs = sorted(plan(histogram, capacity))
     table = spark.sparkContext.broadcast(np.array(runs, dtype=np.int64).reshape(-1, 6))
-    order = F.xxhash64(*key)
-    dealt = pieces.join(F.broadcast(lots), F.col(length_col) == F.col("_n")).withColumn("_lot", F.pmod(order, "_lots"))
+    dealt = pieces.join(F.broadcast(lots), F.col(length_col) == F.col("_n")).withColumn("_lot", F.pmod(F.xxhash64(key), "_lots"))
     counts = dealt.groupBy(F.col(length_col).alias("_l"), F.col("_lot").alias("_m")).count()
     before = Window.partitionBy("_l").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_l", "_m", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(length_col, "_lot").orderBy(order, *key)
+    within = Window.partitionBy(length_col, "_lot").orderBy(key)
     ranked = dealt.withColumn("_in", F.row_number().over(within) - 1)
     ranked = ranked.join(counts, (F.col(length_col) == F.col("_l")) & (F.col("_lot") == F.col("_m"))).withColumn("_rank", F.col("_before") + F.col("_in"))
 
@@ -152,7 +152,7 @@ def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end_id: int = 2,
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(f"{tokenizer}.tiktoken"), "rb"))}
         fast = tiktoken.Encoding(tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         slow = None
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             doc, piece, start, length, data = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 text = text or ""
@@ -177,17 +177,21 @@ def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end_id: int = 2,
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
+def packed(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
+    """pieces, written and placed. The numbers of sequences may differ from run to run, how many there are does not."""
+    return place(materialize(pieces.withColumn("_row", F.monotonically_increasing_id())), capacity).drop("_row")
+
+
 def pack(docs: DataFrame, capacity: int = 1024, **how) -> DataFrame:
     """(doc_id, piece, start, length, ids, sequence_id, offset): documents in as few sequences as best-fit decreasing finds.
 
     Null id: packed like others. Rows that repeat an id are packed one by one. Empty table: empty result. Extra columns are ignored.
     """
     prepare(docs.sparkSession)
-    return place(materialize(tokenize(docs, capacity=capacity, **how)), capacity)
+    return packed(tokenize(docs, capacity=capacity, **how), capacity)
 
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens; a checksum stands for the ids."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    pieces = tokenize(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place(materialize(pieces))
+    docs = tuned(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return packed(tokenize(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
