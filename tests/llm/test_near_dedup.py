@@ -103,3 +103,11 @@ def test_leaders_of_large_buckets(spark, texts, monkeypatch):
     got = near_dedup.near_duplicates(frame(spark, texts), k=5, percent=80, bands=4, rows=1).collect()
     want = components(dict(enumerate(texts)), 5, 80)
     assert all(want[r.component] == want[r.id] for r in got)
+
+
+def test_texts_meet_ids_in_a_shuffle_if_those_are_many(spark, texts, monkeypatch):
+    from tidemark.llm import runtime
+
+    monkeypatch.setattr(runtime, "SENT", -1)
+    got = near_dedup.near_duplicates(frame(spark, texts), k=3, percent=85).collect()
+    assert {r.id: r.component for r in got} == components(dict(enumerate(texts)), 3, 85)
