@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_duplicates
-from tidemark.llm.packing import place, tokenize
+from tidemark.llm.packing import packed, tokenize
 from tidemark.llm.quality_rules import keep_sound
-from tidemark.llm.runtime import materialize, prepare
+from tidemark.llm.runtime import discard, materialize, tuned
 from tidemark.llm.secrets import redact
 from tidemark.llm.substring_dedup import tune_bands
 
@@ -19,51 +17,78 @@ from tidemark.llm.substring_dedup import tune_bands
 PERCENT, RECALL, ROWS = 80, 0.9999, 7
 
 
+def _digest(docs: DataFrame):
+    return F.sha2(F.to_json(F.struct(*docs.columns)).cast("binary"), 256)
+
+
+def _told_apart(docs: DataFrame) -> bool:
+    """Whether each row has a doc_id of its own."""
+    return docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").isEmpty()
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules or the forest reject go; null and empty texts are among them. Each row is judged by itself."""
-    return keep_sound(docs, prepare(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that the rules or the forest reject go; null and empty texts are among them.
+
+    Each row is judged by itself, so that rows that repeat stay or go together. Empty table: empty result. Extra columns stay, whatever their names.
+    """
+    return keep_sound(docs, tuned(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays: five-word shingles, similarity of 0.8 or more.
 
-    Rows that repeat a doc_id become one. Rows without a doc_id, and texts without words, stay.
+    Rows of one doc_id are documents of their own, ordered by a digest of the row: of those that are near-duplicates one stays, and others all
+    stay; rows that are equal in every column become one. Rows without a doc_id, and texts without words, stay. Empty table: empty
+    result. Extra columns stay.
     """
-    found = near_duplicates(docs, percent=PERCENT, bands=tune_bands(PERCENT / 100, RECALL, ROWS), rows=ROWS)
-    kept = found.filter("id = component").select(F.col("id").alias("doc_id"))
-    once = kept.distinct()
-    stay = docs.filter("doc_id is not null").join(once, "doc_id", "left_semi")
-    if not kept.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        stay = stay.dropDuplicates(["doc_id"])
+    tuned(spark)
+    named = docs.filter("doc_id is not null")
+    single = _told_apart(named)
+    row = F.col("doc_id") if single else F.struct("doc_id", _digest(docs).alias("digest"))
+    keyed = named.withColumn("__row", row)
+    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+    found = near_duplicates(rows, percent=PERCENT, bands=tune_bands(PERCENT / 100, RECALL, ROWS), rows=ROWS)
+    kept = found.filter("id = component").select(F.col("id").alias("__row")).distinct()
+    # as many ids as documents: never broadcast
+    stay = keyed.join(kept.hint("merge"), "__row", "left_semi")
+    stay = stay if single else stay.dropDuplicates(["__row"])
     return stay.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in place, and n_chars follows the text; every document stays, null texts as they are."""
+    """Secrets are masked in place, and n_chars follows the text; every document stays, null texts as they are.
+
+    Each row is masked by itself, whether or not rows repeat. Empty table: empty result. Extra columns stay.
+    """
+    tuned(spark)
     return redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once, or twice.
 
-    Documents without a doc_id are told apart by their texts; rows that repeat an id are taken equally often. Texts without words
-    count as any other; documents without a source are a source of their own.
+    Rows without a doc_id, and rows that repeat one, are mixed one by one; of rows equal in every column as many are given as the mix
+    takes of them together. Texts without words count as any other; documents without a source are a source of their own. Empty table:
+    empty result. Extra columns stay.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    keyed = docs.withColumn("__mix_key", key)
-    copies = mix_sources(keyed, id_col="__mix_key").groupBy(F.col("id").alias("__mix_key")).agg(F.max("copies").cast("int").alias("__mix_copies"))
-    taken = keyed.join(copies.filter("__mix_copies > 0"), "__mix_key")
+    tuned(spark)
+    single = _told_apart(docs)
+    row = F.col("doc_id").cast("string") if single else F.to_json(F.struct("doc_id", _digest(docs).alias("digest")))
+    keyed = docs.withColumn("__mix_key", row)
+    copies = mix_sources(keyed, id_col="__mix_key").groupBy(F.col("id").alias("__mix_key")).agg(F.sum("copies").cast("int").alias("__mix_copies"))
+    once = keyed if single else keyed.dropDuplicates(["__mix_key"])
+    taken = once.join(copies.filter("__mix_copies > 0").hint("merge"), "__mix_key")
     return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), "__mix_copies"))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes: in which sequence of at most 1024 tokens, and at which offset.
 
-    Null and empty texts are one end id. A document that the mix took twice is packed twice.
+    Null and empty texts are one end id. A document that the mix took twice, or a row that repeats, is packed as often. Empty table: empty
+    result. Extra columns are ignored.
     """
-    prepare(spark)
-    pieces = tokenize(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place(materialize(pieces))
+    tuned(spark)
+    return packed(tokenize(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 STAGES = [
@@ -79,12 +104,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written to the shared folder and read again by the next."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
-    for n, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if n == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{folder}/{n}")
-        docs = spark.read.parquet(f"{folder}/{n}")
+    """All stages over the documents of sf_dir, each written to the shared folder and read again by the next, and then deleted."""
+    docs = tuned(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        given, docs = docs, materialize(stage(spark, docs, sf_dir))
+        discard(given)
+    return STAGES[-1][1](spark, docs, sf_dir)

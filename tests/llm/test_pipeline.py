@@ -102,3 +102,25 @@ def test_bands_reach_the_similarity_of_the_stage(spark, monkeypatch):
     monkeypatch.setattr(cp, "near_duplicates", lambda docs, percent=80, bands=32, rows=8: asked.update(percent=percent, bands=bands, rows=rows) or plain(docs, percent=percent, bands=bands, rows=rows))
     cp.near_dedup(spark, frame(spark, ["a b c d e f", "g"]), "")
     assert (1 - (asked["percent"] / 100) ** asked["rows"]) ** asked["bands"] <= 1e-4
+
+
+def test_rows_of_one_id_and_clashing_columns(spark):
+    """Different texts under one id all stay; of near-duplicates under one id one stays; columns with names of our own stay."""
+    long_ = lambda a: " ".join(f"{a}{i}" for i in range(60))
+    rows = [(1, long_("a"), 0), (1, long_("b"), 1), (1, long_("a") + " end", 2), (2, long_("b") + " end", 3), (2, long_("c"), 4), (2, long_("c"), 4), (None, long_("a"), 5)]
+    shape = "doc_id long, text string, size int"
+    more = {"lang": "en", "source": "s", "component": "c", "id": "i", "bucket": 1, "rep": "r", "copies": 9, "kept": False, "_row": 1, "__counts": 2}
+    docs = spark.createDataFrame(rows, shape).withColumns({k: F.lit(v) for k, v in more.items()}).withColumn("n_chars", F.length("text").cast("long"))
+    out = cp.near_dedup(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.size) for r in out.collect()), key=str)
+    assert len(got) == 4 and {x for x in got if x[1] in (1, 4, 5)} == {(1, 1), (2, 4), (None, 5)} and ({(1, 0), (1, 2)} & set(got))
+    for name, stage in cp.STAGES:
+        rows = stage(spark, docs, SF).collect()
+        assert rows or name == "mixing"
+    # each row is taken 0 to 2 times; the two equal ones together up to 4 times
+    taken = cp.mixing(spark, docs, SF)
+    assert taken.columns == docs.columns
+    assert all(r["n"] <= (4 if r["size"] == 4 else 2) for r in taken.groupBy("size").agg(F.count("*").alias("n")).collect())
+    assert abs(taken.count() - 1.5 * 7) <= 1.5
+

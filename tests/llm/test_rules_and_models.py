@@ -55,6 +55,16 @@ def test_forest_isolates_what_lies_apart():
     assert forest.score(odd).min() > forest.score(good).max()
 
 
+def test_sound_rows_are_the_same_if_labels_are_many(spark, monkeypatch):
+    from tidemark.llm import runtime
+
+    docs, told = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    kept = sorted(r.doc_id for r in qr.keep_sound(docs, told).collect())
+    assert kept == sorted(r.id for r in qr.judge_texts(docs, told).collect() if r.kept)
+    monkeypatch.setattr(runtime, "SENT", -1)
+    assert kept == sorted(r.doc_id for r in qr.keep_sound(docs, told).collect())
+
+
 def test_path_lengths_against_a_plain_walk():
     rng = np.random.default_rng(4)
     rows = rng.random((300, 3))

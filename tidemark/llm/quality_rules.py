@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.runtime import bounded_sample, materialize, prepare
+from tidemark.llm.runtime import bounded_sample, by_bytes, chosen, few, materialize, prepare, tuned
 from tidemark.llm.textkit import SPACE, U, Words, hash_spans, mix, per_text
 
 SYMBOL = np.zeros(256, dtype=bool)
@@ -90,7 +90,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             made = count_texts(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(made[c].astype(np.int64)) for c in COUNTS)], ["id", *COUNTS])
 
@@ -229,13 +229,20 @@ def judge_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 
 def keep_sound(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs that judge_texts keeps, with all columns. Texts are not moved: each task counts its own once more."""
+    """The rows of docs that judge_texts keeps, with all columns.
+
+    The judge is calibrated on labelled rows, whose texts are picked where they are read if their ids take few bytes; otherwise all texts are
+    counted for it. Texts are not moved: each task counts its own then. Null and empty texts fail. Rows that repeat are judged one by one.
+    Empty table: empty result. Extra columns stay.
+    """
     prepare(docs.sparkSession)
-    judge = calibrate(materialize(statistics(docs, id_col, text_col)), labels, id_col, **how)
+    told = labels.select(F.col(id_col).alias("id"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    judge = calibrate(materialize(statistics(chosen(texts, told) if few(told) else texts, "id", "text")), labels, id_col, **how)
     shared, at = docs.sparkSession.sparkContext.broadcast(judge), docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in by_bytes(batches, at):
             counts = pd.DataFrame(count_texts(batch.column(at)), columns=COUNTS)
             yield batch.filter(pa.array(shared.value(counts)["kept"].to_numpy(bool)))
 
@@ -244,6 +251,6 @@ def keep_sound(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     """The verdict on all documents."""
-    read = prepare(spark).read
+    read = tuned(spark).read
     out = judge_texts(read.parquet(f"{sf_dir}/documents.parquet"), read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")

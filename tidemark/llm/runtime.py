@@ -104,14 +104,19 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE)
             yield batch.slice(a, b - a)
 
 
+def few(ids: DataFrame) -> bool:
+    """Whether the distinct ids (id) take SENT bytes at most, as measured."""
+    size = F.octet_length(F.col("id").cast("string")) + 16
+    return (ids.distinct().agg(F.sum(size)).first()[0] or 0) <= SENT
+
+
 def chosen(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of texts (id, ...) whose id is among ids, which may repeat and should be cheap to read.
 
-    Few ids, by their measured bytes, go to where the texts are read, so that only chosen texts are shuffled later.
+    Few ids go to where the texts are read, so that only chosen texts are shuffled later.
     """
     ids = ids.distinct()
-    sent = ids.agg(F.sum(F.octet_length(F.col("id").cast("string")) + 16)).first()[0] or 0
-    return texts.join(F.broadcast(ids) if sent <= SENT else ids, "id", "left_semi")
+    return texts.join(F.broadcast(ids) if few(ids) else ids, "id", "left_semi")
 
 
 def bounded_sample(df: DataFrame, bound: int, seed: int, key: str = "id") -> DataFrame:
