@@ -1,5 +1,6 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
+from tidemark.llm.byte_pairs import op13_byte_pairs
 from tidemark.llm.mixing import op3_mixing
 from tidemark.llm.near_dedup import op4_minhash
 from tidemark.llm.packing import op1_packing
@@ -17,7 +18,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_url_filter, op3_mixing, op4_minhash, op5_quality_rules, op6_quality_classifier, op7_secrets, op8_top_k, op9_toxicity,
-        op10_substring_dedup, op10_repeated_runs,
+        op10_substring_dedup, op10_repeated_runs, op13_byte_pairs,
     )
 }
 
