@@ -1,10 +1,12 @@
 import datetime as dt
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import events
-from tidemark.schemas import BRONZE_EVENTS, LOG_RECORD
+from tidemark.schemas import BRONZE_EVENTS, LOG_RECORD, QUARANTINE, SILVER_EVENTS
 from tidemark.sources import tables
 from tidemark.streaming import streams
 
@@ -71,6 +73,79 @@ def test_a_batch_that_is_retried_replaces_itself(spark, folder):
     assert [tables.read(spark, f"{folder}/{t}").count() for t in ("silver", "bad", "audit")] == [1, 1, 1]
 
 
+def executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+def test_counts_come_from_the_writes_themselves(spark, folder):
+    """Two tables and the audit row: three writes, and nothing else is run over a batch."""
+    land(spark, f"{folder}/log", [event(1), event(1), event(2), event(3, source=None)])
+    parsed = events.parse_events(events.to_bronze(events.decode_records(spark.read.schema(LOG_RECORD).parquet(f"{folder}/log"))))
+    work = streams.audited("q", f"{folder}/audit", streams.silver_batch(f"{folder}/silver", f"{folder}/bad"))
+    before = executions(spark)
+    work(parsed, 0)
+    assert executions(spark) - before == 3
+    row = tables.read(spark, f"{folder}/audit").first()
+    assert (row.rows_in, row.rows_valid, row.rows_invalid, row.status) == (4, 2, 1, "ok")
+    before = executions(spark)
+    streams.audited("b", f"{folder}/audit", streams.bronze_batch(f"{folder}/bronze"))(spark.read.schema(LOG_RECORD).parquet(f"{folder}/log").withColumn("event_date", F.to_date("timestamp")), 0)
+    assert executions(spark) - before == 2
+
+
+def test_a_batch_of_one_kind_or_none_leaves_no_files_of_the_other(spark, folder):
+    parsed = events.parse_events(events.to_bronze(events.decode_records(spark.createDataFrame([], LOG_RECORD))))
+    work = streams.silver_batch(f"{folder}/silver", f"{folder}/bad")
+    assert work(parsed, 0) == (0, 0, 0)
+    assert not tables.exists(spark, f"{folder}/silver") and not tables.exists(spark, f"{folder}/bad")
+
+
+def test_both_tables_show_whole_batches_only(spark, folder, monkeypatch):
+    """A crash between the two writes: readers see neither; the retry leaves one copy."""
+    def batch(items, n):
+        land(spark, f"{folder}/log{n}", items)
+        return events.parse_events(events.to_bronze(events.decode_records(spark.read.schema(LOG_RECORD).parquet(f"{folder}/log{n}"))))
+
+    silver, bad, audit = (f"{folder}/{t}" for t in ("silver", "bad", "audit"))
+    work = streams.audited("events_silver", audit, streams.silver_batch(silver, bad))
+    seen = lambda: tuple(streams.visible(spark, p, s, audit).count() for p, s in ((silver, SILVER_EVENTS), (bad, QUARANTINE)))
+    assert seen() == (0, 0)
+    work(batch([event(1), event(2, source=None)], 0), 0)
+    assert seen() == (1, 1)
+    write, later = streams.write_batch, batch([event(3), event(4), event(5, source=None)], 1)
+
+    def dies(df, path, by, n):
+        if path == bad:
+            raise RuntimeError("killed")
+        return write(df, path, by, n)
+
+    monkeypatch.setattr(streams, "write_batch", dies)
+    with pytest.raises(RuntimeError):
+        work(later, 1)
+    assert tables.read(spark, silver).count() == 3 and seen() == (1, 1) and streams.finished(spark, audit, "events_silver") == 0
+    monkeypatch.setattr(streams, "write_batch", write)
+    work(later, 1)
+    assert seen() == (3, 2) and tables.read(spark, silver).count() == 3
+    plan = streams.visible(spark, silver, SILVER_EVENTS, audit)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "<= 1)" in plan
+
+
+def test_progress_is_kept_without_jobs(spark, folder):
+    listener = streams.Progress()
+    spark.streams.addListener(listener)
+    try:
+        land(spark, f"{folder}/log", [event(1), event(2)])
+        records = streams.log_source(spark, f"{folder}/log").observe("records", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("key").isNull()).alias("without_key"))
+        run(streams.start_bronze(records, f"{folder}/bronze", f"{folder}/c", name="watched"))
+        for _ in range(100):
+            if any(r[0] == "watched" and r[2] for r in listener.rows):
+                break
+            time.sleep(0.1)
+        (row,) = listener.table(spark).filter("query = 'watched' and rows_in > 0").collect()
+        assert (row.batch_id, row.observed["records.rows"], row.observed["records.without_key"]) == (0, 2, 0) and row.took_ms > 0
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def test_errors_are_recorded_and_raised(spark, folder):
     def fail(batch, n):
         raise RuntimeError("broken")

@@ -103,3 +103,12 @@ def test_json_log(spark, folder):
 
 def test_formats(spark):
     assert tables.has_format(spark, "parquet") and not tables.has_format(spark, "no_such_format")
+
+
+def test_an_upsert_keeps_the_rows_of_the_null_partition(spark, folder):
+    path, schema = f"{folder}/t", "k int, v string, by string"
+    put = lambda *rows: tables.merge_upsert(spark, path, spark.createDataFrame(list(rows), schema), ["k"], "by")
+    put((1, "a", None), (2, "b", "x"))
+    put((3, "c", None))
+    put((1, "d", None), (4, "e", "x"))
+    assert sorted(tuple(r) for r in tables.read(spark, path).select("k", "v", "by").collect()) == [(1, "d", None), (2, "b", "x"), (3, "c", None), (4, "e", "x")]

@@ -29,6 +29,12 @@ BARS = declare(
     "symbol!:str source_name!:str currency!:str bar_start_ts!:ts bar_end_ts!:ts trade_date!:date"
     " open_price:dbl high_price:dbl low_price:dbl close_price:dbl avg_price:dbl tick_count!:long"
 )
+#: A bar as far as it is known: the earliest and the latest tick, and what can be added up; written by numbered increments.
+TICK = T.StructType().add("order", declare("event_ts_utc:ts ingestion_ts:ts event_id:str")).add("price", T.DoubleType())
+BAR_STATES = T.StructType([
+    *declare("symbol!:str source_name!:str currency!:str bar_start_ts!:ts").fields, T.StructField("first", TICK), T.StructField("last", TICK),
+    *declare("high:dbl low:dbl total:dbl ticks:long trade_date:date increment:long").fields,
+])
 METRICS = declare(
     "symbol!:str source_name!:str currency!:str metric_ts!:ts price_usd:dbl return_1m:dbl return_5m:dbl ma_5:dbl ma_15:dbl ma_60:dbl"
     " volatility_15:dbl volatility_60:dbl zscore_60:dbl is_anomaly!:bool"
@@ -52,3 +58,7 @@ SILVER_EVENTS = T.StructType([
 QUARANTINE = T.StructType([*SILVER_EVENTS.fields, *declare("quarantine_reason:str quarantine_ts:ts").fields])
 
 AUDIT = declare("query!:str batch_id!:long rows_in:long rows_valid:long rows_invalid:long status!:str error:str ts!:ts")
+#: The batch that wrote a row of a streamed table.
+BATCH = declare("batch_id!:long")
+#: What a listener keeps of each batch.
+PROGRESS = declare("query:str batch_id:long rows_in:long took_ms:long watermark:str").add("observed", T.MapType(T.StringType(), T.LongType())).add("error", T.StringType())

@@ -7,6 +7,8 @@ it touches; readers may see some partitions before others. With Delta on the cla
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,30 +93,58 @@ def _staged(spark: SparkSession, source: DataFrame, path: str, keys: list[str],
     return place, rows, [r[0] for r in found]
 
 
-def merge_insert_only(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], fmt: str = "parquet", within: str | None = None) -> None:
+def merge_insert_only(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], fmt: str = "parquet", within: str | None = None,
+    filters: bool = False, first: Callable[[DataFrame], None] | None = None,
+) -> None:
     """Add the rows whose keys are new; rows that are there stay as they are.
 
     within: a condition on the table that holds for every row whose key the source may repeat, such as a range of partitions; only those
-    are then read for their keys.
+    are then read for their keys. filters: keep Bloom filters of keys beside the table, by the first column of `by`, and read only the
+    partitions that may hold a key of the source; all appends must then come through here. first: called with the new rows before they are
+    appended, for what is derived from them; if it fails, nothing is appended.
     """
     ensure(spark, path, source.schema, by, fmt)
     place, rows, _ = _staged(spark, source, path, keys, by, fmt)
-    if fmt == "delta":
-        _delta_merge(spark, path, rows, keys, update=False)
-    else:
+    try:
+        if fmt == "delta":
+            _delta_merge(spark, path, rows, keys, update=False)
+            return
         old = read_or_empty(spark, path, source.schema, fmt)
-        append(inserted(old.filter(within) if within else old, rows, keys), path, by, fmt)
-    remove(spark, place)
+        old = old.filter(within) if within else old
+        if filters:
+            from tidemark.sources import key_filters
+
+            if not exists(spark, key_filters.place(path)) and not old.isEmpty():
+                key_filters.rebuild(spark, path, keys, by[0])
+            with key_filters.unseen(old, rows, path, keys, by[0]) as fresh:
+                # the rows that are added, once, as they are written, remembered and handed on
+                fresh.write.format(fmt).save(f"{place}-new")
+            fresh = read(spark, f"{place}-new", fmt, source.schema)
+            if first:
+                first(fresh)
+            if not fresh.isEmpty():
+                key_filters.remember(fresh, path, keys, by[0], uuid.uuid4().hex)
+                append(fresh, path, by, fmt)
+        else:
+            fresh = inserted(old, rows, keys)
+            if first:
+                first(fresh)
+            append(fresh, path, by, fmt)
+    finally:
+        remove(spark, place)
+        remove(spark, f"{place}-new")
 
 
 def merge_upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: str, fmt: str = "parquet") -> None:
-    """Put in the rows of source. Only the partitions (column `by`, a function of the keys) that source has rows of are rewritten."""
+    """Put in the rows of source. Only the partitions (column `by`, a function of the keys, perhaps null) that source has rows of are rewritten."""
     ensure(spark, path, source.schema, [by], fmt)
     place, rows, days = _staged(spark, source, path, keys, [by], fmt)
     if fmt == "delta":
         _delta_merge(spark, path, rows, keys, update=True)
     elif days:
-        old = read_or_empty(spark, path, source.schema, fmt).filter(F.col(by).isin(days))
+        touched = F.coalesce(F.col(by).isin([d for d in days if d is not None]), F.lit(False))
+        old = read_or_empty(spark, path, source.schema, fmt).filter(touched | F.col(by).isNull() if None in days else F.col(by).isin(days))
         staging = f"{path.rstrip('/')}.staging-{uuid.uuid4()}"
         upserted(old, rows, keys).write.format(fmt).save(staging)
         overwrite(read(spark, staging, fmt, source.schema), path, [by], fmt, partitions_only=True)
@@ -129,6 +159,13 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder, within one file system."""
+    old, new = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def merge_sql(path: str, source: str, keys: list[str], update: bool) -> str:
     """The MERGE of a view into a Delta table."""
     same = " AND ".join(f"t.{k} = s.{k}" for k in keys)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections import deque
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tidemark.operators.events import decode_records, invalid_events, parse_events, to_bronze, valid_events
-from tidemark.schemas import AUDIT, BRONZE_EVENTS, LOG_RECORD
-from tidemark.sources import tables
+from tidemark.schemas import AUDIT, BATCH, BRONZE_EVENTS, LOG_RECORD, PROGRESS, SILVER_EVENTS
+from tidemark.sources import key_filters, tables
 
 
 def kafka_options(place: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -49,7 +51,7 @@ def log_sink(df: DataFrame, place: str, topic: str | None = None) -> None:
 def record(spark: SparkSession, path: str, query: str, batch_id: int, rows: tuple[int, int, int], error: str | None = None) -> None:
     """One audit row for a micro-batch; a batch that is tried again replaces its row."""
     row = [(query, batch_id, *rows, "error" if error else "ok", error)]
-    df = spark.createDataFrame(row, StructType(AUDIT.fields[:-1])).withColumn("ts", F.current_timestamp())
+    df = spark.createDataFrame(row, StructType(AUDIT.fields[:-1])).withColumn("ts", F.current_timestamp()).coalesce(1)
     tables.overwrite(df, path, ["query", "batch_id"], partitions_only=True)
 
 
@@ -73,41 +75,95 @@ def audited(name: str, audit: str | None, work: Callable[[DataFrame, int], tuple
     return run
 
 
-def write_batch(df: DataFrame, path: str, by: list[str], batch_id: int) -> None:
-    """Write a batch under its own number: one that is tried again replaces what it wrote before."""
-    tables.overwrite(df.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", *by], partitions_only=True)
+def finished(spark: SparkSession, audit: str, query: str) -> int:
+    """The last batch of a query that is written whole, -1 if there is none. A batch begins only once all before it are."""
+    ok = tables.read_or_empty(spark, audit, AUDIT).filter((F.col("query") == query) & (F.col("status") == "ok"))
+    last = ok.agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last
+
+
+def visible(spark: SparkSession, path: str, schema: StructType, audit: str, query: str = "events_silver") -> DataFrame:
+    """The rows of a table that whole batches have written, without batch_id: the audit table is the ledger.
+
+    A batch writes several tables, and its audit row after them. Whoever reads all of them through here sees a batch in each or in none,
+    also after a crash between two writes; the number of the last whole batch prunes the partitions.
+    """
+    rows = tables.read_or_empty(spark, path, StructType([*schema.fields, *BATCH.fields]))
+    return rows.filter(F.col("batch_id") <= finished(spark, audit, query)).select(*schema.fieldNames())
+
+
+def write_batch(df: DataFrame, path: str, by: list[str], batch_id: int) -> int:
+    """Write a batch under its own number, and how many rows that were, as observed by the write itself.
+
+    One that is tried again replaces what it wrote before. A batch without rows leaves no files.
+    """
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    tables.overwrite(rows, path, ["batch_id", *by], partitions_only=True)
+    return seen.get["rows"]
 
 
 def bronze_batch(path: str) -> Callable[[DataFrame, int], tuple[int, int, int]]:
     def work(batch: DataFrame, batch_id: int) -> tuple[int, int, int]:
-        n = batch.count()
-        if n:
-            write_batch(batch, path, ["event_date"], batch_id)
+        n = write_batch(batch, path, ["event_date"], batch_id)
         return n, n, 0
 
     return work
 
 
 def silver_batch(silver: str, quarantine: str, dedupe: str = "batch") -> Callable[[DataFrame, int], tuple[int, int, int]]:
-    """dedupe: `batch` keeps one row of an event_id in each batch; `table` also leaves out what other batches have written."""
+    """dedupe: `batch` keeps one row of an event_id in each batch; `table` also leaves out what earlier batches have written, whose ids
+    are remembered beside the table. Each table is one write, which counts its rows as they pass; nothing else is run over the batch."""
 
     def work(batch: DataFrame, batch_id: int) -> tuple[int, int, int]:
-        good, bad = valid_events(batch), invalid_events(batch)
-        if dedupe == "table" and tables.exists(batch.sparkSession, silver):
-            seen = tables.read(batch.sparkSession, silver).filter(F.col("batch_id") != batch_id)
-            good = tables.inserted(seen, good, ["event_id"])
-        good.persist()
-        n, n_good, n_bad = batch.count(), good.count(), bad.count()
-        if n_good:
-            write_batch(good, silver, ["event_date"], batch_id)
-        if n_bad:
-            write_batch(bad, quarantine, [], batch_id)
-        good.unpersist()
-        return n, n_good, n_bad
+        spark, seen = batch.sparkSession, Observation()
+        good = valid_events(batch.observe(seen, F.count(F.lit(1)).alias("rows")))
+        with _unseen(spark, good, silver, batch_id) if dedupe == "table" else contextlib.nullcontext(good) as fresh:
+            n_good = write_batch(fresh, silver, ["event_date"], batch_id)
+        n_bad = write_batch(invalid_events(batch), quarantine, [], batch_id)
+        return seen.get["rows"], n_good, n_bad
 
     return work
 
 
+@contextlib.contextmanager
+def _unseen(spark: SparkSession, good: DataFrame, silver: str, batch_id: int) -> Iterator[DataFrame]:
+    """The events whose ids no earlier batch has written. Only dates that may hold them are read; the ids are remembered before they are
+    written, so that a crash in between leaves an id too many, which costs a look, and none too few."""
+    old = tables.read_or_empty(spark, silver, StructType([*SILVER_EVENTS.fields, *BATCH.fields])).filter(F.col("batch_id") < batch_id)
+    with key_filters.unseen(old, good, silver, ["event_id"], "event_date") as fresh:
+        key_filters.remember(good, silver, ["event_id"], "event_date", batch_id)
+        yield fresh
+
+
+class Progress(StreamingQueryListener):
+    """Keeps what queries report of their batches: one row for each, the last `most` of them. Spark calls it; no job is run for it.
+
+    Counts that a stream observes (DataFrame.observe with a name) come along as `observed`, {name.metric: value}.
+    """
+
+    def __init__(self, most: int = 10_000):
+        self.rows: deque[tuple] = deque(maxlen=most)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        observed = {f"{name}.{metric}": int(v) for name, row in p.observedMetrics.items() for metric, v in row.asDict().items() if isinstance(v, int)}
+        self.rows.append((p.name, p.batchId, p.numInputRows, p.durationMs.get("triggerExecution"), p.eventTime.get("watermark"), observed, None))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        if event.exception:
+            self.rows.append((None, None, None, None, None, {}, event.exception[:500]))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.rows), PROGRESS)
+
+
 def start(df: DataFrame, name: str, work: Callable[[DataFrame, int], tuple[int, int, int]], checkpoint: str, audit: str | None = None, every: str | None = None) -> StreamingQuery:
     """Run a stream through a batch function: every so often, or until all that is there has been read."""
     writer = df.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(audited(name, audit, work))
