@@ -1,11 +1,12 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import prices
-from tidemark.plans.price_pipeline import Paths, run_price_pipeline
+from tidemark.plans.price_pipeline import Paths, add_increment, run_increment, run_price_pipeline
 from tidemark.schemas import BARS, BRONZE_PRICES
 from tidemark.sources import tables
 
@@ -100,3 +101,56 @@ def test_pipeline_since_a_day(spark, folder):
 
 def test_empty_pipeline(spark, folder):
     assert run_price_pipeline(spark, bronze(spark, []), Paths.under(folder)).count() == 0
+
+
+def many_ticks(spark, n=400):
+    """Ticks of a few bars, equal times and prices among them, in no order."""
+    rng = random.Random(8)
+    return [(f"e{i}", rng.choice([0, 0, 1, 1, 2, 700, 1500]) + rng.choice([0, 0.25, 0.5]), rng.choice([1.0, 2.5, 3.0]), rng.randrange(9), "OK") for i in range(n)]
+
+
+def as_rows(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+
+def test_states_add_up_in_any_grouping(spark):
+    ticks = prices.clean_ticks(bronze(spark, many_ticks(spark)))
+    want = as_rows(prices.ohlc_bars(ticks))
+    part = [prices.bar_states(ticks.filter(F.abs(F.hash("event_id")) % 3 == i)) for i in range(3)]
+    one = prices.merge_states(prices.merge_states(part[0], part[1]), part[2])
+    other = prices.merge_states(part[2], prices.merge_states(part[1], part[0].limit(0), part[0]))
+    assert as_rows(prices.bars_of_states(one)) == as_rows(prices.bars_of_states(other)) == want
+
+
+def test_increments_give_the_bars_of_a_full_run(spark, folder, monkeypatch):
+    """Late, repeated, retried and empty increments; a crash between the states and silver; silver is not read for bars."""
+    rows, paths = many_ticks(spark), Paths.under(folder)
+    parts = [rows[0::3], rows[1::3], rows[0:60:3], [], rows[2::3]]
+    want = as_rows(prices.ohlc_bars(prices.clean_ticks(bronze(spark, rows))))
+    append = tables.append
+
+    def dies(df, path, *how):
+        if path == paths.silver:
+            raise RuntimeError("killed")
+        append(df, path, *how)
+
+    for n, part in enumerate(parts):
+        if n == 1:
+            monkeypatch.setattr(tables, "append", dies)
+            with pytest.raises(RuntimeError):
+                add_increment(spark, bronze(spark, part), paths, n)
+            monkeypatch.setattr(tables, "append", append)
+        for _ in range(1 + (n == 0)):
+            days = add_increment(spark, bronze(spark, part), paths, n)
+        assert (days == []) == (n in (2, 3))
+    assert as_rows(tables.read(spark, paths.bars).select(*BARS.fieldNames())) == want
+    assert tables.read(spark, paths.silver).count() == len(rows)
+    merged = prices.bars_of_states(prices.merge_states(tables.read(spark, paths.states)))
+    assert as_rows(merged) == want and all("/bar_states/" in f for f in merged.inputFiles())
+
+
+def test_increments_carry_on_to_metrics(spark, folder):
+    rows, paths = many_ticks(spark, 200), Paths.under(folder)
+    for n, part in enumerate((rows[0::2], rows[1::2])):
+        out = run_increment(spark, bronze(spark, part), paths, n)
+    assert as_rows(out) == as_rows(prices.price_metrics(prices.ohlc_bars(prices.clean_ticks(bronze(spark, rows)))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +95,36 @@ def ohlc_bars(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
     return _canonical(bars, width)
 
 
+def bar_states(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
+    """What ticks add to each bar, in a form that can be added up: (BAR_KEY, trade_date, first, last, high, low, total, ticks).
+
+    first and last are (order, price) of the earliest and latest tick; an order is (event time, ingestion time, id).
+    """
+    at = F.struct(F.struct("event_ts_utc", "ingestion_ts", "event_id").alias("order"), F.col("price_usd").alias("price"))
+    states = _bucketed(ticks, width).withColumn("at", at).groupBy(*BAR_KEY).agg(
+        F.min("at").alias("first"), F.max("at").alias("last"), F.max("price_usd").alias("high"), F.min("price_usd").alias("low"),
+        F.sum("price_usd").alias("total"), F.count(F.lit(1)).alias("ticks"),
+    )
+    return states.withColumn("trade_date", F.to_date("bar_start_ts"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """One state for each bar, of any number of them in any order and grouping: all parts but the total are exactly associative."""
+    rows = functools.reduce(DataFrame.unionByName, [s.select(*BAR_KEY, "trade_date", "first", "last", "high", "low", "total", "ticks") for s in states])
+    return rows.groupBy(*BAR_KEY, "trade_date").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.sum("total").alias("total"), F.sum("ticks").alias("ticks"),
+    )
+
+
+def bars_of_states(states: DataFrame, width: str = "1 minute") -> DataFrame:
+    """The bars that merged states stand for: those of ohlc_bars over all ticks that went into them."""
+    return _canonical(states.select(
+        *BAR_KEY, F.col("first.price").alias("open_price"), F.col("high").alias("high_price"), F.col("low").alias("low_price"),
+        F.col("last.price").alias("close_price"), (F.col("total") / F.col("ticks")).alias("avg_price"), F.col("ticks").alias("tick_count"),
+    ), width)
+
+
 def ohlc_bars_join_form(ticks: DataFrame, width: str = "1 minute") -> DataFrame:
     """The same bars by two ranked windows and two joins: the long form, kept as a check on the short one."""
     rows = _bucketed(ticks, width)

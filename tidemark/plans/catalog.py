@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import checks, prices
 from tidemark.operators import events as clicks
 from tidemark.plans import views
-from tidemark.plans.price_pipeline import Paths, run_price_pipeline
+from tidemark.plans.price_pipeline import Paths, add_increment, run_increment, run_price_pipeline
 from tidemark.session import utc, workspace
 from tidemark.sources import tables
 
@@ -273,6 +273,29 @@ def pipeline_end_to_end(spark, sf_dir):
     return rounded(run_price_pipeline(spark, bronze, Paths.under(workspace(spark))))
 
 
+def increments(spark: SparkSession, sf_dir: str):
+    """Bronze rows in four parts: two thirds, the rest, which falls late into bars that are there, the first part once more, and again under its own number."""
+    rows = views.ticks_raw(spark, sf_dir)
+    early, late = rows.filter(f"{number()} % 3 <> 0"), rows.filter(f"{number()} % 3 = 0")
+    return (0, early), (1, late), (2, early), (1, late)
+
+
+@query(f"WITH {SILVER}, {bars_sql('hour')} SELECT {BAR_COLUMNS} FROM bars")
+def bars_incremental(spark, sf_dir):
+    paths = Paths.under(workspace(spark))
+    for n, rows in increments(spark, sf_dir):
+        add_increment(spark, rows, paths, n, "1 hour")
+    return rounded(tables.read(spark, paths.bars).select(*prices.BARS.fieldNames()))
+
+
+@query(f"WITH {SILVER}, {bars_sql('hour')}, {METRICS_CTE} SELECT {METRIC_COLUMNS} FROM metrics")
+def metrics_incremental(spark, sf_dir):
+    paths = Paths.under(workspace(spark))
+    for n, rows in increments(spark, sf_dir)[:2]:
+        out = run_increment(spark, rows, paths, n, "1 hour")
+    return rounded(out)
+
+
 # ---- events -------------------------------------------------------------------------------------------------------------
 
 BRONZE = f"""raw AS ({views.EVENTS_RAW}),

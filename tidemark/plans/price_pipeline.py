@@ -7,8 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.prices import BAR_KEY, METRIC_KEY, clean_ticks, metrics_since, ohlc_bars, price_metrics_sliced, with_calendar
-from tidemark.schemas import BARS, BRONZE_PRICES, METRICS, SILVER_TICKS
+from tidemark.operators.prices import (
+    BAR_KEY, METRIC_KEY, bar_states, bars_of_states, clean_ticks, merge_states, metrics_since, ohlc_bars, price_metrics_sliced, with_calendar,
+)
+from tidemark.schemas import BAR_STATES, BARS, BRONZE_PRICES, METRICS, SILVER_TICKS
 from tidemark.sources import tables
 
 
@@ -18,10 +20,11 @@ class Paths:
     silver: str
     bars: str
     metrics: str
+    states: str = ""
 
     @classmethod
     def under(cls, root: str) -> Paths:
-        return cls(*(f"{root}/{name}" for name in ("bronze", "silver", "bars", "metrics")))
+        return cls(*(f"{root}/{name}" for name in ("bronze", "silver", "bars", "metrics", "bar_states")))
 
 
 def ingest(bronze: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -31,14 +34,15 @@ def ingest(bronze: DataFrame, path: str, fmt: str = "parquet") -> None:
 def to_silver(spark: SparkSession, paths: Paths, since: str | None = None, fmt: str = "parquet") -> None:
     """since: only bronze rows that arrived from that day on are read; the partitions before are passed over.
 
-    A tick is kept as it first came, so an id that was there before stays as it is.
+    A tick is kept as it first came, so an id that was there before stays as it is. Of the silver table only the days are read that may hold
+    one of the new ids, as filters beside it tell.
     """
     bronze = tables.read_or_empty(spark, paths.bronze, BRONZE_PRICES, fmt)
     if since and "ingest_year" in bronze.columns:
         day = [F.lit(int(x)) for x in since.split("-")]
         bronze = bronze.filter(F.struct("ingest_year", "ingest_month", "ingest_day") >= F.struct(*day))
     ticks = clean_ticks(bronze).select(*SILVER_TICKS.fieldNames())
-    tables.merge_insert_only(spark, paths.silver, ticks, ["event_id"], ["processing_date"], fmt)
+    tables.merge_insert_only(spark, paths.silver, ticks, ["event_id"], ["processing_date"], fmt, filters=fmt != "delta")
 
 
 def to_bars(spark: SparkSession, paths: Paths, width: str = "1 minute", since: str | None = None, fmt: str = "parquet") -> None:
@@ -61,6 +65,37 @@ def to_metrics(spark: SparkSession, paths: Paths, since: str | None = None, fmt:
     tables.merge_upsert(spark, paths.metrics, rows, METRIC_KEY, "metric_date", fmt)
 
 
+def add_increment(spark: SparkSession, bronze: DataFrame, paths: Paths, number: int, width: str = "1 minute") -> list:
+    """Bring silver and bars up to date with the bronze rows of one numbered increment; returns the days it touched.
+
+    What the new ticks add to each bar is stored under the increment's number before they go to silver, so that neither an increment that comes
+    again nor one that is tried again after a crash counts twice. Bars of touched days are then added up from their states, of which there
+    is one for each bar and increment: silver is not read again, and ticks may come late by any time.
+    """
+    ticks = clean_ticks(bronze).select(*SILVER_TICKS.fieldNames())
+
+    def store(fresh: DataFrame) -> None:
+        states = bar_states(fresh, width).withColumn("increment", F.lit(number).cast("long"))
+        tables.overwrite(states, paths.states, ["trade_date", "increment"], partitions_only=True)
+
+    tables.merge_insert_only(spark, paths.silver, ticks, ["event_id"], ["processing_date"], filters=True, first=store)
+    states = tables.read_or_empty(spark, paths.states, BAR_STATES)
+    # a row for each day that the increment has bars of
+    days = [r[0] for r in states.filter(F.col("increment") == number).select("trade_date").distinct().collect()]
+    if days:
+        merged = merge_states(states.filter(F.col("trade_date").isin(days)))
+        tables.merge_upsert(spark, paths.bars, bars_of_states(merged, width), BAR_KEY, "trade_date")
+    return sorted(days)
+
+
+def run_increment(spark: SparkSession, bronze: DataFrame, paths: Paths, number: int, width: str = "1 minute") -> DataFrame:
+    """One increment through silver, bars and metrics. Its days are found by itself; metrics follow from the first of them on."""
+    days = add_increment(spark, bronze, paths, number, width)
+    if days:
+        to_metrics(spark, paths, since=str(days[0]))
+    return tables.read_or_empty(spark, paths.metrics, METRICS).select(*METRICS.fieldNames())
+
+
 def run_price_pipeline(spark: SparkSession, bronze: DataFrame | None, paths: Paths, width: str = "1 minute", since: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Append bronze rows, if any, and bring the three tables behind them up to date. Running it again changes nothing.
 
