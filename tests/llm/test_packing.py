@@ -122,3 +122,36 @@ def test_both_tokenizers_agree_on_plain_code_points():
     rng = np.random.default_rng(0)
     texts += ["".join(rng.choice(plain, 40)) for _ in range(3000)]
     assert [e.ids for e in HF.encode_batch(texts, add_special_tokens=False)] == [fast.encode(t, disallowed_special=()) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from(" \n\t\r\x0b\xa0 ab1!é漢'"), max_size=40))
+def test_long_white_space_may_be_taken_out(text):
+    import regex
+
+    from tidemark.llm.byte_pairs import merge_long, read_ranks
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for least in (1, 2, 4):
+        got, whole = [], ""
+        for part, blank in packing.parts(text, regex.compile(rf"\s{{{least},}}")):
+            whole += part
+            got += merge_long(part.encode(), ranks) if blank else HF.encode(part, add_special_tokens=False).ids
+        assert whole == text and [*got, 2] == ids_of(text)
+
+
+def test_runs_of_blanks_letters_and_marks_of_a_megabyte(spark):
+    """What would exhaust a backtracking stack, or never end."""
+    big = 1_200_000
+    texts = [" " * big, "\n" * big, "one" + " " * big + "two", "é漢" + " \n" * (big // 2) + " end", "w" * big, "!" * big, "7" * big, "short"]
+    rows = packing.pack(frame(spark, texts).repartition(4)).select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset").collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        assert r.start == len(by.setdefault(r.doc_id, []))
+        by[r.doc_id] += np.frombuffer(bytes(r.ids), "<u4").tolist()
+    assert set(by) == set(range(len(texts)))
+    for i, ids in by.items():
+        assert ids[-1] == 2 and HF.decode(ids[:-1], skip_special_tokens=False) == texts[i]
+    assert by[7] == ids_of("short")
+    # a run's ids are those of runs that the library can take: the pieces of shorter runs repeat
+    assert by[0][:50] == ids_of(" " * 6000)[:50]

@@ -124,3 +124,16 @@ def test_rows_of_one_id_and_clashing_columns(spark):
     assert all(r["n"] <= (4 if r["size"] == 4 else 2) for r in taken.groupBy("size").agg(F.count("*").alias("n")).collect())
     assert abs(taken.count() - 1.5 * 7) <= 1.5
 
+
+
+def test_helper_names_that_documents_have(spark):
+    """Columns named like those the stages make for themselves: values stay, in whatever case the names are."""
+    names = ["__row", "__MIX_key", "__mix_copies", "__mix_copy", "__row_"]
+    docs = frame(spark, [f"text number {i} of some words" for i in range(40)] + ["text number 3 of some words", None, ""])
+    docs = docs.withColumns({c: F.concat(F.lit(f"own {c} "), F.col("doc_id").cast("string")) for c in names})
+    for stage in (cp.near_dedup, cp.mixing):
+        for given in (docs, docs.withColumn("doc_id", F.col("doc_id") % 10)):
+            out = stage(spark, given, SF)
+            assert out.columns == docs.columns
+            rows = out.collect()
+            assert rows and all(r[c] == f"own {c} {r.id}" for r in rows for c in names)

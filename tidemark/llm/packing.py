@@ -7,8 +7,8 @@ for each length which ranks go where. Spark ranks the pieces and looks each one
 
 from __future__ import annotations
 
-import base64
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.byte_pairs import merge_long, read_ranks
 from tidemark.llm.runtime import by_bytes, materialize, prepare, tuned
 
 #: Ranks are counted in lots of about so many pieces of one length.
@@ -25,6 +26,28 @@ LOT = 500
 PLAIN = re.compile("[^\\x00-ɏ‐-‧‰-⁞]")
 
 
+#: White space in a row from which on a run is taken out and merged by itself: the libraries' time or stack grows with it.
+BLANKS = 1000
+
+
+def parts(text: str, runs) -> Iterator[tuple[str, bool]]:
+    """The text in parts that are tokenized by themselves with the same ids, and whether a part is a long run of white space.
+
+    The pretokenizer makes such a run a word of its own but for its last character, which may go with what follows; no other word holds
+    white space after its first character. runs: the pattern of the long runs.
+    """
+    last = 0
+    for m in runs.finditer(text):
+        a, b = m.span()
+        b -= b < len(text)
+        if a > last:
+            yield text[last:a], False
+        yield text[a:b], True
+        last = b
+    if last < len(text):
+        yield text[last:], False
+
+
 class TightestFit:
     """A segment tree over capacities 0..n: the least capacity of at least c that has open sequences, in logarithmic time."""
 
@@ -146,22 +169,29 @@ def tokenize(docs: DataFrame, tokenizer: str = "byte_bpe_50k", end_id: int = 2,
 
     def run(batches):
         import public_tokenizers
+        import regex
         import tiktoken
         from tokenizers import Tokenizer
 
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(f"{tokenizer}.tiktoken"), "rb"))}
+        ranks = read_ranks(public_tokenizers.path(f"{tokenizer}.tiktoken"))
+        blanks = regex.compile(rf"\s{{{BLANKS},}}")
         fast = tiktoken.Encoding(tokenizer, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         slow = None
         for batch in by_bytes(batches, 1):
             doc, piece, start, length, data = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 text = text or ""
-                if "<|" in text or PLAIN.search(text):
-                    if slow is None:
-                        slow = Tokenizer.from_file(public_tokenizers.path(f"{tokenizer}.json"))
-                    ids = np.array([*slow.encode(text, add_special_tokens=False).ids, end_id], "<u4")
-                else:
-                    ids = np.append(fast.encode_to_numpy(text, disallowed_special=()), end_id).astype("<u4")
+                found = []
+                for part, blank in parts(text, blanks):
+                    if blank:
+                        found.append(merge_long(part.encode(), ranks))
+                    elif "<|" in part or PLAIN.search(part):
+                        if slow is None:
+                            slow = Tokenizer.from_file(public_tokenizers.path(f"{tokenizer}.json"))
+                        found.append(slow.encode(part, add_special_tokens=False).ids)
+                    else:
+                        found.append(fast.encode_to_numpy(part, disallowed_special=()))
+                ids = np.concatenate([*found, [end_id]]).astype("<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     doc.append(i)
