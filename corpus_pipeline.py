@@ -21,6 +21,17 @@ def _digest(docs: DataFrame):
     return F.sha2(F.to_json(F.struct(*docs.columns)).cast("binary"), 256)
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until docs has no column of the name, in whatever case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def _told_apart(docs: DataFrame) -> bool:
     """Whether each row has a doc_id of its own."""
     return docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").isEmpty()
@@ -44,14 +55,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tuned(spark)
     named = docs.filter("doc_id is not null")
     single = _told_apart(named)
+    (key,) = _free(docs, "__row")
     row = F.col("doc_id") if single else F.struct("doc_id", _digest(docs).alias("digest"))
-    keyed = named.withColumn("__row", row)
-    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+    keyed = named.withColumn(key, row)
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
     found = near_duplicates(rows, percent=PERCENT, bands=tune_bands(PERCENT / 100, RECALL, ROWS), rows=ROWS)
-    kept = found.filter("id = component").select(F.col("id").alias("__row")).distinct()
+    kept = found.filter("id = component").select(F.col("id").alias(key)).distinct()
     # as many ids as documents: never broadcast
-    stay = keyed.join(kept.hint("merge"), "__row", "left_semi")
-    stay = stay if single else stay.dropDuplicates(["__row"])
+    stay = keyed.join(kept.hint("merge"), key, "left_semi")
+    stay = stay if single else stay.dropDuplicates([key])
     return stay.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
@@ -74,11 +86,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tuned(spark)
     single = _told_apart(docs)
     row = F.col("doc_id").cast("string") if single else F.to_json(F.struct("doc_id", _digest(docs).alias("digest")))
-    keyed = docs.withColumn("__mix_key", row)
-    copies = mix_sources(keyed, id_col="__mix_key").groupBy(F.col("id").alias("__mix_key")).agg(F.sum("copies").cast("int").alias("__mix_copies"))
-    once = keyed if single else keyed.dropDuplicates(["__mix_key"])
-    taken = once.join(copies.filter("__mix_copies > 0").hint("merge"), "__mix_key")
-    return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), "__mix_copies"))).select(docs.columns)
+    key, times, copy = _free(docs, "__mix_key", "__mix_copies", "__mix_copy")
+    keyed = docs.withColumn(key, row)
+    copies = mix_sources(keyed, id_col=key).groupBy(F.col("id").alias(key)).agg(F.sum("copies").cast("int").alias(times))
+    once = keyed if single else keyed.dropDuplicates([key])
+    taken = once.join(copies.filter(F.col(times) > 0).hint("merge"), key)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
