@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -175,3 +176,58 @@ def test_memory_of_a_large_layer_is_bounded():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 32 << 20  # 40 MB unpacked
+
+
+SECRET = b"password=hunter2222"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        B64(gzip.compress(gzip.compress(SECRET))), B64(zlib.compress(bz2.compress(SECRET))), urllib.parse.quote(gzip.compress(gzip.compress(SECRET))),
+        B64(b"HDR:" + gzip.compress(SECRET)), B64("xx password=hunter2222 yy".encode("utf-16-le")), B64("xx password=hunter2222 yy".encode("utf-16-be")),
+        "%u0070assword=hunter2222", "\\u{70}assword=hunter2222", "%u0070%61ssword=hunter2222", "\\u{000070}assword=\\u{68}unter2222",
+        B64(lzma.compress(zstandard.compress(zlib.compress(gzip.compress(SECRET))))), B64(b"\x00\x01" + bz2.compress(b"noise" + zstandard.compress(SECRET) + b"tail") + b"end"),
+        B64(zlib.compress("password=hunter2222".encode("utf-16-le"))), B64(gzip.compress(b"first") + b"junk" + gzip.compress(SECRET)),
+    ],
+)
+def test_layers_within_layers(text):
+    for around in ("{}", "before {} after"):
+        whole = around.format(text)
+        found = secrets.scan(whole)[1]
+        assert any(k == "assign" and 0 <= a < b <= len(whole) for k, a, b in found if (k, a, b) not in base(whole)), whole[:80]
+
+
+@pytest.mark.parametrize("inner", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+@pytest.mark.parametrize("outer", [gzip.compress, zstandard.compress])
+def test_packed_data_that_goes_on_over_pieces(inner, outer, monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE", 4096)
+    monkeypatch.setattr(secrets, "OVERLAP", 256)
+    noise = random.Random(2).randbytes(9000)
+    for before in (0, 100, 4096 - 20, 5000):
+        text = B64(outer(b"." * before + inner(noise + SECRET)))
+        assert ("assign", 0, len(text)) in secrets.scan(text)[1]
+
+
+def test_spans_in_layers_of_layers_point_at_their_letters():
+    inner = "padding words " + B64("é token=abcdef123456 é") + " more"
+    text = "x%20" + B64(urllib.parse.quote(inner)) + " y"
+    spans = [s for s in secrets.scan(text)[1] if s[0] == "assign"]
+    assert spans and all(4 <= a < b <= len(text) - 2 and b - a < len(text) - 30 for _, a, b in spans)
+
+
+def test_time_grows_with_the_length_of_base64():
+    took = []
+    for n in (400_000, 1_600_000):
+        text = B64(random.Random(3).randbytes(n * 3 // 4))
+        began = time.process_time()
+        secrets.scan(text)
+        secrets.scan("\n".join(text[i : i + 76] for i in range(0, n // 4, 76)))
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0] + 1
+
+
+def test_many_members_are_unpacked_once():
+    data = b"".join(gzip.compress(b"member %d" % i) for i in range(3000)) + gzip.compress(SECRET)
+    began = time.process_time()
+    assert any(k == "assign" for k, _, _ in secrets.scan(B64(data))[1]) and time.process_time() - began < 10

@@ -1,22 +1,25 @@
 """Secret scans: patterns over whole texts and over every layer that recursive decoding unwraps.
 
-A worklist holds layers. A layer is text, with the span of the original text that each of its characters comes from. A layer
-with percent escapes, or with \\u and \\x escapes, gives a layer with all of them decoded and the rest as it is, so that a key stays
-beside its value. Runs of base64, and compressed data inside base64 or escapes, become layers of their own. Layers are scanned and
-unwrapped in turn until nothing new appears. A layer that has been seen before is not taken up again, which ends cycles such as
+A worklist holds layers. A layer is text, and bytes if it was decoded from some, and knows which stretch of the original text a part of it
+comes from. A layer with percent escapes, or with \\u and \\x escapes, gives a layer with all of them decoded and the rest as it is, so that a
+key stays beside its value. Runs of base64, compressed data in escapes or anywhere in a layer's bytes, those that were compressed themselves
+included, and text of two bytes a letter become layers of their own. Layers are scanned and unwrapped in turn until nothing new appears. A layer that has been seen before is not taken up again, which ends cycles such as
 archives that hold themselves. Compressed data is unpacked and scanned a piece at a time, whatever it grows to.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import bz2
-import hashlib
+import functools
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,19 +37,29 @@ ORDER = {kind: n for n, kind in enumerate(KINDS)}
 
 #: Runs of at least 24 of the letters: where a match of the kind can be long enough, so that short ones aren't looked at.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
-SEPARATOR = re.compile(r"[:=]")
 
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U(000[0-9A-Fa-f]{5}|0010[0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+#: What a match of the first kind begins with, in lower case.
+WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4})+")
+ONE_PERCENT = re.compile(r"%u([0-9A-Fa-f]{4})|(?:%[0-9A-Fa-f]{2})+")
+ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{0*(10[0-9A-Fa-f]{4}|[0-9A-Fa-f]{1,5})\}|\\U(000[0-9A-Fa-f]{5}|0010[0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
 ESCAPES = re.compile(f"(?:{ONE_ESCAPE.pattern})+")
 #: Runs, and runs that go on over line breaks.
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 PIECES = re.compile(r"[A-Za-z0-9+]+")
+BORDER = re.compile(r"[/_-]")
 
 #: What any find or further layer needs at least.
 PROMISING = re.compile(rb"[:=%\\]|AKIA|[A-Za-z0-9+/_-]{16}")
 
+#: First bytes of gzip, zlib, bzip2, xz and zstandard: fixed values.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.S)
+
+#: Eight letters or more of two bytes each, the low byte first or last.
+WIDE = re.compile(rb"((?:[\t\n\r\x20-\x7e]\x00){8,})|(?:\x00[\t\n\r\x20-\x7e]){8,}")
+
 #: Compressed data is scanned in pieces of so many bytes. Each begins with the last OVERLAP bytes of the one before, so that what is
 #: shorter than that is whole in one of them.
 PIECE, OVERLAP = 1 << 22, 1 << 16
@@ -55,6 +68,8 @@ PIECE, OVERLAP = 1 << 22, 1 << 16
 PACKED_PERCENT = re.compile(
     r"%1[fF]%8[bB]|(?:%78|x)%(?:01|5[eE]|9[cC]|[dD][aA])|(?:%42|B)(?:%5[aA]|Z)(?:%68|h)|%[fF][dD](?:%37|7)(?:%7[aA]|z)(?:%58|X)|(?:%28|\()%[bB]5(?:%2[fF]|/)%[fF][dD]"
 )
+#: What every match of PACKED_PERCENT has within its first three characters, or begins with.
+FIRST_PERCENT = re.compile(r"BZh|%(?:1[fF]|78|01|5[eEaA]|9[cC]|[dD][aA]|42|68|[fF][dD]|28|[bB]5)")
 PACKED_LITERAL = re.compile(
     r"\\x1[fF]\\x8[bB]|(?:\\x78|x)(?:\\x01|\^|\\x5[eE]|\\x9[cC]|\\x[dD][aA])|(?:\\x42|B)(?:\\x5[aA]|Z)(?:\\x68|h)|\\x[fF][dD](?:\\x37|7)(?:\\x7[aA]|z)|(?:\\x28|\()\\x[bB]5(?:\\x2[fF]|/)\\x[fF][dD]"
 )
@@ -69,7 +84,8 @@ SHORT = {"a": 7, "b": 8, "f": 12, "n": 10, "r": 13, "t": 9, "v": 11, "0": 0}
 def matches(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of each kind's leftmost, non-overlapping matches that are long enough, in code points."""
     found = []
-    if SEPARATOR.search(text):
+    low = text.lower()
+    if any(word in low for word in WORDS):
         pattern, group, least = KINDS["assign"]
         found += [("assign", m.start(), m.end()) for m in pattern.finditer(text) if len(m[group]) >= least]
     if "AKIA" in text:
@@ -79,105 +95,163 @@ def matches(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+#: (start, end) of a stretch of a layer, and of the stretch of the original text that it comes from.
+Where = Callable[[int, int], tuple[int, int]]
+
+#: Gives the bytes of a layer from the start, a chunk at a time, as often as it is called.
+Source = Callable[[], Iterator[bytes]]
+
+
 class Layer:
-    """text, and for each character the span of the original text that it stands for; one pair of numbers if that is the same for all."""
+    """text, and where: which stretch of the original text the characters from a to b come from, worked out for finds alone.
 
-    __slots__ = ("ends", "starts", "text")
+    A layer that was bytes has them as `data`, with where_data for bytes; rest(i) gives the data from i on if it goes on beyond this layer.
+    """
 
-    def __init__(self, text: str, starts: list[int] | range | int, ends: list[int] | range | int):
-        self.text, self.starts, self.ends = text, starts, ends
+    __slots__ = ("data", "rest", "text", "where", "where_data")
 
-    def span(self, a: int, b: int) -> tuple[int, int]:
-        """Where the characters from a to b come from."""
-        return (self.starts, self.ends) if isinstance(self.starts, int) else (min(self.starts[a:b]), max(self.ends[a:b]))
+    def __init__(self, text: str, where: Where, data: bytes | None = None, where_data: Where | None = None, rest: Callable[[int], Source] | None = None):
+        self.text, self.where, self.data, self.where_data, self.rest = text, where, data, where_data, rest
 
 
-def _from_bytes(data: bytes, starts: list[int] | int, ends: list[int] | int) -> Layer:
-    """The layer whose UTF-8 bytes are data, each byte with its span; a byte that is not UTF-8 is a character that matches nothing."""
+def _of_bytes(data: bytes, where: Where, rest: Callable[[int], Source] | None = None) -> Layer:
+    """The layer whose UTF-8 bytes are data; a byte that is not UTF-8 is a character that matches nothing."""
     text = data.decode("utf-8", "surrogateescape")
-    if len(text) == len(data) or isinstance(starts, int):
-        return Layer(text, starts, ends)
-    at, begin, end = 0, [], []
-    for c in text:
-        n = len(c.encode("utf-8", "surrogateescape"))
-        begin.append(starts[at])
-        end.append(max(ends[at : at + n]))
-        at += n
-    return Layer(text, begin, end)
-
-
-def _replaced(layer: Layer, runs: re.Pattern, decode) -> Layer:
+    if len(text) == len(data):
+        return Layer(text, where, data, where, rest)
+
+    @functools.cache
+    def offsets() -> np.ndarray:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        size = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        size[(points >= 0xDC80) & (points <= 0xDCFF)] = 1
+        return np.concatenate([[0], np.cumsum(size)])
+
+    return Layer(text, lambda a, b: where(int(offsets()[a]), int(offsets()[b])), data, where, rest)
+
+
+def _replaced(layer: Layer, runs: re.Pattern, decode: Callable[[re.Match], tuple[str, list[int], list[int]]]) -> Layer:
     """layer with each of the runs decoded, and all other characters as they are. decode(match): the characters, and begin and end of each."""
-    if isinstance(layer.starts, int):
-        return Layer(runs.sub(lambda m: decode(m).text, layer.text), layer.starts, layer.ends)
-    text, starts, ends, last = [], [], [], 0
-    for m in runs.finditer(layer.text):
-        text.append(layer.text[last : m.start()])
-        starts += layer.starts[last : m.start()]
-        ends += layer.ends[last : m.start()]
-        inner = decode(m)
-        text.append(inner.text)
-        starts += [min(layer.starts[a:b]) for a, b in zip(inner.starts, inner.ends)]
-        ends += [max(layer.ends[a:b]) for a, b in zip(inner.starts, inner.ends)]
-        last = m.end()
-    text.append(layer.text[last:])
-    return Layer("".join(text), [*starts, *layer.starts[last:]], [*ends, *layer.ends[last:]])
-
-
-def _percent(m: re.Match) -> Layer:
-    return _from_bytes(bytes.fromhex(m[0].replace("%", "")), list(range(m.start(), m.end(), 3)), list(range(m.start() + 3, m.end() + 3, 3)))
-
-
-def _escaped(m: re.Match) -> Layer:
-    units, starts, ends = [], [], []
-    for one in ONE_ESCAPE.finditer(m.string, m.start(), m.end()):
-        code = int(one[one.lastindex], 16)
-        if units and 0xD800 <= units[-1] < 0xDC00 and 0xDC00 <= code < 0xE000:  # halves of one character
-            units[-1] = 0x10000 + ((units[-1] - 0xD800) << 10) + code - 0xDC00
-            ends[-1] = one.end()
+    text, begin, old, inner, last, size = [], [], [], [], 0, 0
+    for m in [*runs.finditer(layer.text), None]:
+        stop = m.start() if m else len(layer.text)
+        if stop > last:
+            text.append(layer.text[last:stop])
+            begin.append(size)
+            old.append(last)
+            inner.append(None)
+            size += stop - last
+        if m:
+            chars, starts, ends = decode(m)
+            text.append(chars)
+            begin.append(size)
+            old.append(stop)
+            inner.append((starts, ends))
+            size += len(chars)
+            last = m.end()
+
+    def where(a: int, b: int) -> tuple[int, int]:
+        i, j = bisect.bisect_right(begin, a) - 1, bisect.bisect_right(begin, b - 1) - 1
+        first = old[i] + a - begin[i] if inner[i] is None else inner[i][0][a - begin[i]]
+        end = old[j] + b - begin[j] if inner[j] is None else inner[j][1][b - 1 - begin[j]]
+        return layer.where(first, end)
+
+    return Layer("".join(text), where)
+
+
+def _units(run: list[tuple[int, int, int]]) -> tuple[str, list[int], list[int]]:
+    """Characters of (code, start, end), halves of one character joined."""
+    codes, starts, ends = [], [], []
+    for code, a, b in run:
+        if codes and 0xD800 <= codes[-1] < 0xDC00 and 0xDC00 <= code < 0xE000:
+            codes[-1] = 0x10000 + ((codes[-1] - 0xD800) << 10) + code - 0xDC00
+            ends[-1] = b
+        else:
+            codes.append(code)
+            starts.append(a)
+            ends.append(b)
+    return "".join(map(chr, codes)), starts, ends
+
+
+def _percent(m: re.Match) -> tuple[str, list[int], list[int]]:
+    found = []
+    for one in ONE_PERCENT.finditer(m.string, m.start(), m.end()):
+        if one[1]:
+            found.append((int(one[1], 16), one.start(), one.end()))
         else:
-            units.append(code)
-            starts.append(one.start())
-            ends.append(one.end())
-    return Layer("".join(map(chr, units)), starts, ends)
+            at = one.start()
+            for c in bytes.fromhex(one[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+                n = 3 * len(c.encode("utf-8", "surrogateescape"))
+                found.append((ord(c), at, at + n))
+                at += n
+    return _units(found) if "%u" in m[0] else ("".join(chr(c) for c, _, _ in found), [a for _, a, _ in found], [b for _, _, b in found])
 
 
-def _packed(data: bytes) -> bool:
-    """Whether data begins like a known compressed format."""
-    return data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and (data[0] * 256 + data[1]) % 31 == 0 or data[:3] == b"BZh" or data[:6] == b"\xfd7zXZ\x00" or data[:4] == b"\x28\xb5\x2f\xfd"
+def _escaped(m: re.Match) -> tuple[str, list[int], list[int]]:
+    return _units([(int(one[one.lastindex], 16), one.start(), one.end()) for one in ONE_ESCAPE.finditer(m.string, m.start(), m.end())])
 
 
-def _chunks(data: bytes) -> Iterator[bytes]:
-    """What all members of data unpack to, in order, up to the first that is broken; each chunk has PIECE bytes at most."""
-    left = data
-    while _packed(left):
+class _File:
+    """Chunks as a file to read from."""
+
+    def __init__(self, chunks: Iterator[bytes]):
+        self.chunks, self.held = chunks, b""
+
+    def read(self, size: int = -1) -> bytes:
+        while not self.held:
+            self.held = next(self.chunks, None)
+            if self.held is None:
+                self.held = b""
+                return b""
+        out, self.held = self.held[:size], self.held[size:]
+        return out
+
+
+def _unpacked(source: Source, used: list[int] | None = None) -> Iterator[bytes]:
+    """What all members of packed data unpack to, in order, up to the first that is broken; each chunk has PIECE bytes at most.
+
+    used: its last number becomes how many bytes the members took that were whole.
+    """
+    chunks, held, given = source(), b"", 0
+    while True:
+        while len(held) < 6 and (more := next(chunks, None)) is not None:
+            held += more
+            given += len(more)
         try:
-            if left[:4] == b"\x28\xb5\x2f\xfd":
-                yield from _frames(left)
+            if held[:4] == b"\x28\xb5\x2f\xfd":
+                yield from _frames(lambda: itertools.chain([held], chunks) if given > len(held) or used is None else source())
                 return
-            if left[:3] == b"BZh":
+            if held[:3] == b"BZh":
                 tool = bz2.BZ2Decompressor()
-            elif left[:1] == b"\xfd":
+            elif held[:6] == b"\xfd7zXZ\x00":
                 tool = lzma.LZMADecompressor(memlimit=1 << 27)
-            else:
+            elif held[:2] == b"\x1f\x8b" or held[:1] == b"\x78" and len(held) > 1 and (held[0] * 256 + held[1]) % 31 == 0:
                 tool = zlib.decompressobj(47)
-            given = left
+            else:
+                return
+            feed = held
             while not tool.eof:
-                part = tool.decompress(given, PIECE)
-                given = getattr(tool, "unconsumed_tail", b"")
+                part = tool.decompress(feed, PIECE)
+                feed = getattr(tool, "unconsumed_tail", b"")
                 if part:
                     yield part
                 elif not tool.eof:
-                    return  # cut short
-            left = tool.unused_data
+                    more = next(chunks, None)
+                    if more is None:
+                        return  # cut short
+                    given += len(more)
+                    feed = feed + more
+            held = tool.unused_data
+            if used is not None:
+                used[-1] = given - len(held)
         except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
             return
 
 
-def _frames(data: bytes) -> Iterator[bytes]:
+def _frames(source: Source) -> Iterator[bytes]:
     """All zstandard frames; the first alone if noise follows it, which may give parts of it again."""
     for every in (True, False):
-        with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data, read_across_frames=every) as tool:
+        with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(_File(source()), read_across_frames=every) as tool:
             try:
                 while part := tool.read(PIECE):
                     yield part
@@ -186,17 +260,51 @@ def _frames(data: bytes) -> Iterator[bytes]:
                 continue
 
 
-def _pieces(data: bytes) -> Iterator[bytes]:
-    """Packed data unpacked, in pieces that overlap; those in which nothing can be found are left out."""
-    held = b""
-    for part in _chunks(data):
+def _skipped(chunks: Iterator[bytes], n: int) -> Iterator[bytes]:
+    """The chunks from the n-th byte on."""
+    for chunk in chunks:
+        if n < len(chunk):
+            yield chunk[n:]
+        n = max(0, n - len(chunk))
+
+
+def _packed_layers(source: Source, span: tuple[int, int], used: list[int] | None = None) -> Iterator[Layer]:
+    """Packed data unpacked, in pieces that overlap; those in which nothing can be found are left out.
+
+    Packing scatters a byte over the whole, so the whole is what a find maps to. Packed data that begins in one piece and goes on in the
+    next is unpacked from the stream once more, so that no more than a piece is ever held.
+    """
+    where = lambda a, b: span
+
+    def layer(piece: bytes, at: int, whole: bool) -> Iterator[Layer]:
+        if PROMISING.search(piece) or MAGIC.search(piece) or WIDE.search(piece):
+            yield _of_bytes(piece, where, None if whole else lambda i: lambda: _skipped(_unpacked(source), at + i))
+
+    held, at = b"", 0
+    for part in _unpacked(source, used):
         held += part
         while len(held) > PIECE:
-            if PROMISING.search(held, 0, PIECE):
-                yield held[:PIECE]
+            yield from layer(held[:PIECE], at, False)
             held = held[PIECE - OVERLAP :]
-    if PROMISING.search(held):
-        yield held
+            at += PIECE - OVERLAP
+    if held:
+        yield from layer(held, at, True)
+
+
+def _inside(layer: Layer) -> Iterator[Layer]:
+    """Packed data and text of two bytes a letter that stand anywhere in the bytes of a layer."""
+    data, after = layer.data, 0
+    for m in MAGIC.finditer(data):
+        i = m.start()
+        if i >= after:  # not within what has been unpacked
+            used = [0]
+            source = layer.rest(i) if layer.rest else functools.partial(lambda i: iter([data[i:]]), i)
+            yield from _packed_layers(source, layer.where_data(i, len(data)), used)
+            after = i + used[-1]
+    for m in WIDE.finditer(data):
+        a = m.start()
+        text = m[0].decode("utf-16-le" if m[1] else "utf-16-be")
+        yield Layer(text, functools.partial(lambda first, x, y: layer.where_data(first + 2 * x, first + 2 * y), a))
 
 
 def _decode64(core: str) -> bytes:
@@ -207,37 +315,34 @@ def _decode64(core: str) -> bytes:
 def _base64(layer: Layer, begin: int, end: int) -> Iterator[Layer]:
     """What the run from begin to end holds.
 
-    The base64 may begin after any /, _, - or line break. A start matters only modulo 4 for plain data, so the run is decoded
-    from the first start of each remainder on, and what stands before or after comes out as noise. Compressed data is tried
-    from each start that looks like its first bytes. Pieces are decoded by themselves too, as they may end without padding.
+    The base64 may begin after any /, _, - or line break. A start matters only modulo 4, so the run is decoded from the first start of
+    each remainder on, and what stands before or after comes out as noise. Pieces whose last letters are
+    no whole group are decoded by themselves too, as they may end without padding. Three bytes stand for four letters: where a find comes from follows from that.
     """
-    at = [i for i in range(begin, end) if layer.text[i] not in " \t\r\n="]
-    core = "".join([layer.text[i] for i in at])
-    cuts = [0, *(i for i in range(1, len(core)) if core[i - 1] in "/_-" or at[i] > at[i - 1] + 1)]
-    plain, seen = [], set()
-    for a in cuts:
-        if a % 4 not in seen:
-            seen.add(a % 4)
-            plain.append((a, len(core)))
-        if len(core) - a >= 16 and _packed(_decode64(core[a : a + 8])):
-            # packing scatters a byte over the whole, so the whole is what a find in it maps to
-            for piece in _pieces(_decode64(core[a:])):
-                yield _from_bytes(piece, *layer.span(at[a], end))
-    if len(cuts) > 1:
-        plain += [m.span() for m in PIECES.finditer(core) if m.end() - m.start() >= 16 and m.end() < len(core)]
-    for a, b in plain:
+    run = layer.text[begin:end]
+    if "\n" in run:
+        at: list[int] | range = [i for i in range(begin, end) if layer.text[i] not in " \t\r\n="]
+        core = "".join([layer.text[i] for i in at])
+        breaks = [i for i in range(1, len(core)) if at[i] > at[i - 1] + 1]
+    else:
+        core = run.rstrip("=")
+        at, breaks = range(begin, begin + len(core)), []
+    starts: dict[int, int] = {}
+    for a in sorted({0, *breaks, *(m.end() for m in BORDER.finditer(core) if m.end() < len(core))}):
+        starts.setdefault(a % 4, a)
+    spans = [(a, len(core)) for a in starts.values()]
+    if len(starts) > 1 or breaks or BORDER.search(core):
+        spans += [m.span() for m in PIECES.finditer(core) if m.end() - m.start() >= 16 and m.end() < len(core) and (m.end() - m.start()) % 4 > 1]
+
+    def where(a: int, b: int, x: int, y: int) -> tuple[int, int]:
+        j = min(a + 4 * ((y - 1) // 3) + 4, b)
+        padded = j == len(core) and (j - a) % 4
+        return layer.where(at[a + 4 * (x // 3)], end if padded else at[j - 1] + 1)
+
+    for a, b in spans:
         data = _decode64(core[a:b])
-        if not PROMISING.search(data):
-            continue
-        if isinstance(layer.starts, int):
-            yield _from_bytes(data, layer.starts, layer.ends)
-            continue
-        groups = [(at[i], at[min(i + 4, b) - 1] + 1) for i in range(a, b, 4)]
-        if b == len(core) and len(core) % 4 != a % 4:
-            groups[-1] = (groups[-1][0], end)  # the padding too
-        froms = [min(layer.starts[x:y]) for x, y in groups]
-        tos = [max(layer.ends[x:y]) for x, y in groups]
-        yield _from_bytes(data, [froms[i // 3] for i in range(len(data))], [tos[i // 3] for i in range(len(data))])
+        if PROMISING.search(data) or MAGIC.search(data) or WIDE.search(data):
+            yield _of_bytes(data, functools.partial(where, a, b))
 
 
 def _octet(m: re.Match) -> str:
@@ -249,20 +354,19 @@ def _escaped_data(layer: Layer) -> Iterator[Layer]:
     """What compressed data unpacks to whose bytes are escaped one by one, or stand as they are where they are letters."""
     text = layer.text
     if "%" in text:
-        for m in PACKED_PERCENT.finditer(text):
+        near = sorted({i for m in FIRST_PERCENT.finditer(text) for i in range(max(0, m.start() - 2), m.start() + 1)})
+        for m in filter(None, map(functools.partial(PACKED_PERCENT.match, text), near)):
             run = OCTETS_PERCENT.match(text, m.start())
             if run and "%" in run[0]:
                 data = re.sub(rb"%([0-9A-Fa-f]{2})", lambda x: bytes([int(x[1], 16)]), run[0].replace("+", " ").encode("latin-1"))
-                for piece in _pieces(data):
-                    yield _from_bytes(piece, *layer.span(*run.span()))
+                yield from _packed_layers(functools.partial(lambda d: iter([d]), data), layer.where(*run.span()))
     if "\\x" in text:
         for m in PACKED_LITERAL.finditer(text):
             quote = text[m.start() - 1] if m.start() and text[m.start() - 1] in "'\"" else ""
             run = OCTETS_LITERAL[quote].match(text, m.start())
             if run and "\\x" in run[0]:
                 data = re.sub(r"\\x([0-9A-Fa-f]{2})|\\(.)", _octet, run[0]).encode("latin-1", "replace")
-                for piece in _pieces(data):
-                    yield _from_bytes(piece, *layer.span(*run.span()))
+                yield from _packed_layers(functools.partial(lambda d: iter([d]), data), layer.where(*run.span()))
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
@@ -270,6 +374,8 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
     for mark, runs, decode in (("%", PERCENT, _percent), ("\\", ESCAPES, _escaped)):
         if mark in layer.text and runs.search(layer.text):
             yield _replaced(layer, runs, decode)
+    if layer.data is not None:
+        yield from _inside(layer)
     yield from _escaped_data(layer)
     for pattern in (BASE64, WRAPPED):
         for m in pattern.finditer(layer.text):
@@ -280,16 +386,17 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     """The spans in the text itself, and all spans: those and the ones of decoded layers, sorted by start, then kind."""
     order = lambda s: (s[1], ORDER[s[0]], s[2])
     base = sorted(matches(text), key=order)
-    work, seen, more = [unwrap(Layer(text, range(len(text)), range(1, len(text) + 1)))], set(), set()
+    work, seen, more = [unwrap(Layer(text, lambda a, b: (a, b)))], set(), set()
     while work:
         layer = next(work[-1], None)
         if layer is None:
             work.pop()
         elif layer.text:
-            origin = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), *layer.span(0, 1), layer.span(len(layer.text) - 1, len(layer.text))[1])
+            n, where = (len(layer.text), layer.where) if layer.data is None else (len(layer.data), layer.where_data)
+            origin = (hash(layer.text), n, *where(0, 1), where(n - 1, n)[1])
             if origin not in seen:
                 seen.add(origin)
-                more |= {(kind, *layer.span(a, b)) for kind, a, b in matches(layer.text)}
+                more |= {(kind, *layer.where(a, b)) for kind, a, b in matches(layer.text)}
                 work.append(unwrap(layer))
     return base, sorted({*base, *more}, key=order)
 
