@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import prices
-from tidemark.plans.price_pipeline import Paths, add_increment, run_increment, run_price_pipeline
+from tidemark.plans import price_pipeline
+from tidemark.plans.price_pipeline import Paths, add_increment, ingest, run_increment, run_new_files, run_price_pipeline
 from tidemark.schemas import BARS, BRONZE_PRICES
-from tidemark.sources import tables
+from tidemark.sources import files, tables
 
 T0 = dt.datetime(2024, 1, 1, 0, 0)
 
@@ -154,3 +155,41 @@ def test_increments_carry_on_to_metrics(spark, folder):
     for n, part in enumerate((rows[0::2], rows[1::2])):
         out = run_increment(spark, bronze(spark, part), paths, n)
     assert as_rows(out) == as_rows(prices.price_metrics(prices.ohlc_bars(prices.clean_ticks(bronze(spark, rows)))))
+
+
+def test_new_files_are_found_and_read_once(spark, folder, monkeypatch):
+    """A first run, one with nothing new, one that dies half way through its append and is taken up again beside newer files, a late file."""
+    rows, paths = many_ticks(spark, 240), Paths.under(folder)
+    assert run_new_files(spark, paths).count() == 0
+    days = []
+    add = price_pipeline.add_increment
+    monkeypatch.setattr(price_pipeline, "add_increment", lambda *a: days.append(add(*a)) or days[-1])
+    ingest(bronze(spark, rows[0::4]), paths.bronze)
+    run_new_files(spark, paths)
+    assert files.unread(spark, paths.bronze, f"{paths.bronze}.files").count() == 0
+    monkeypatch.setattr(price_pipeline, "run_increment", None)  # nothing is read
+    run_new_files(spark, paths)
+    monkeypatch.setattr(price_pipeline, "run_increment", run_increment)
+
+    append = tables.append
+
+    def dies(df, path, *how):
+        append(df.filter("hash(event_id) % 2 = 0") if path == paths.silver else df, path, *how)
+        if path == paths.silver:
+            raise RuntimeError("killed")
+
+    ingest(bronze(spark, rows[1::4]), paths.bronze)
+    monkeypatch.setattr(tables, "append", dies)
+    with pytest.raises(RuntimeError):
+        run_new_files(spark, paths)
+    monkeypatch.setattr(tables, "append", append)
+    ingest(bronze(spark, rows[2::4]), paths.bronze)
+    run_new_files(spark, paths)
+    late = [(i, None if m is None else m - 5 * 1440, p, s, st) for i, m, p, s, st in rows[3::4]]
+    ingest(bronze(spark, late), paths.bronze)
+    out = run_new_files(spark, paths)
+    assert len(days) == 4 and {str(d) for d in days[-1]} == {"2023-12-27", "2023-12-28"}
+    whole = prices.clean_ticks(bronze(spark, [r for k in range(3) for r in rows[k::4]] + late))
+    assert as_rows(tables.read(spark, paths.bars).select(*BARS.fieldNames())) == as_rows(prices.ohlc_bars(whole))
+    assert as_rows(out) == as_rows(prices.price_metrics(prices.ohlc_bars(whole)))
+    assert tables.read(spark, paths.silver).count() == len(rows)

@@ -204,3 +204,60 @@ def test_processing_time_trigger(spark, folder):
 
 def test_options_of_a_topic():
     assert streams.kafka_options("h:9092", "t", "earliest") == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false"}
+
+
+def at(minute):
+    return dt.datetime(2024, 1, 5) + dt.timedelta(minutes=minute)
+
+
+EVENTS = "event_id string, source string, session_id string, item_id string, event_type string, anonymous_id string, event_ts timestamp"
+
+
+def made_events(spark, rows):
+    """rows: id, source, session, item, minute"""
+    return spark.createDataFrame([(i, s, x, item, "view", x, at(m)) for i, s, x, item, m in rows], EVENTS)
+
+
+def in_batches(spark, folder, make, parts):
+    """What a stream gives over parts that land one after the other, one batch each, and once more with nothing new."""
+    for n, part in enumerate(parts):
+        made_events(spark, part).coalesce(1).write.mode("append").parquet(f"{folder}/events")
+        rows = streams.table_source(spark, f"{folder}/events", made_events(spark, []).schema)
+        run(make(rows).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/c").outputMode("append").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{folder}/out")
+
+
+def test_confirmations_as_they_happen(spark, folder):
+    parts = [
+        [("f1", "frontend", "s", "i", 0), ("f2", "frontend", "s", "j", 5), ("b1", "backend", "s", "i", 3), ("f0", "frontend", None, "i", 2)],
+        [("b2", "backend", "s", "i", 30), ("b3", "backend", "s", "i", 31), ("b4", "backend", "t", "j", 6), ("f3", "frontend", "t", "j", 6)],
+        [("b5", "backend", "s", "j", 28), ("f9", "frontend", "z", "z", 200), ("b9", "backend", "z", "z", 400)],
+        [("f10", "frontend", "y", "y", 600), ("b10", "backend", "y", "y", 600)],
+        [("f4", "frontend", "s", "i", 1), ("b11", "backend", "s", "i", 4), ("f11", "frontend", "y", "y", 700), ("b12", "backend", "y", "y", 700)],
+    ]
+    got = in_batches(spark, folder, lambda rows: events.confirmed_as_it_happens(rows, rows), parts)
+    whole = events.confirmed(made_events(spark, [r for p in parts[:4] for r in p]))
+    # what is over by the watermark is as in the batch form; f4 came after its time was over, f11 is not over yet
+    want = sorted((r.event_id, r.confirmations) for r in whole.collect())
+    assert sorted((r.event_id, r.confirmations) for r in got.collect()) == want and ("f1", 2) in want
+
+
+def test_a_late_event_bridges_two_sessions(spark, folder):
+    parts = [[("a", "frontend", "s", "i", 0), ("b", "frontend", "s", "i", 50)], [("c", "frontend", "s", "i", 25), ("d", "frontend", "u", "i", 0)], [("e", "frontend", "v", "i", 1000)], [("g", "frontend", "v", "i", 2000)]]
+    got = in_batches(spark, folder, lambda rows: events.sessions(rows, late="1 hour"), parts)
+    rows = {(r.anonymous_id, r.session_start, r.last_ts, r.events) for r in got.collect()}
+    assert {("s", at(0), at(50), 3), ("u", at(0), at(0), 1)} <= rows and len(rows) <= 3
+    batch = events.sessions(made_events(spark, [r for p in parts for r in p] + [("n", "frontend", None, "i", 3)]))
+    assert rows <= {(r.anonymous_id, r.session_start, r.last_ts, r.events) for r in batch.collect()} and batch.count() == 4
+
+
+def test_what_the_schema_lacks_is_kept_and_told(spark):
+    texts = [json.dumps(event(1, extra={"a": 1}, user_id=7)), json.dumps(event(2)), "{bad", "[1]", "null", None, '{"properties": {"item_id": null, "size": [1]}}']
+    rows = spark.createDataFrame([(t,) for t in texts], "raw_json string")
+    got = {(r.path, r.kind): (r.records, r.status) for r in events.drift(rows).collect()}
+    assert got["extra", "OBJECT"] == (1, "unknown") and got["user_id", "BIGINT"] == (1, "wrong type") and got["event_id", "STRING"] == (2, "known")
+    assert got["properties.size", "ARRAY"] == (1, "unknown") and got["properties.item_id", "VOID"] == (1, "known") and got["properties", "OBJECT"] == (1, "known")
+    kept = [r.u for r in events.with_unknown(rows).select(F.to_json("unknown").alias("u")).collect()]
+    assert kept == ['{"extra":{"a":1}}', "{}", None, None, None, None, "{}"]
+    assert "extra" in events.observed_schema(rows.limit(2)).first().observed
+    assert events.drift(rows.limit(0)).collect() == []

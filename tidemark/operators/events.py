@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.text import filled, instant
 from tidemark.schemas import BRONZE_EVENTS, EVENT, SILVER_EVENTS
@@ -140,3 +141,75 @@ def confirmed(events: DataFrame, within: str = "30 minutes") -> DataFrame:
     near = (F.col("at") >= F.col("event_ts")) & (F.col("at") <= F.expr(f"event_ts + INTERVAL {within}"))
     both = front.join(back, (F.col("f.session_id") == F.col("b.session_id")) & (F.col("f.item_id") == F.col("b.item_id")) & near, "left")
     return both.groupBy("f.event_id", "f.session_id", "f.item_id").agg(F.count("at").alias("confirmations"))
+
+
+def confirmed_as_it_happens(front: DataFrame, back: DataFrame, within: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """confirmed for two streams of events: each frontend event is given once, when no confirmation of it can come any more.
+
+    That is once both streams are past its time by `within` and `late`; state is dropped then, and what is later is left out. An extension.
+    """
+    front = front.filter("source = 'frontend'").select("event_id", "session_id", "item_id", "event_ts").withWatermark("event_ts", late).alias("f")
+    back = back.filter("source = 'backend'").select("session_id", "item_id", F.col("event_ts").alias("at")).withWatermark("at", late).alias("b")
+    near = (F.col("b.at") >= F.col("f.event_ts")) & (F.col("b.at") <= F.col("f.event_ts") + F.expr(f"INTERVAL {within}"))
+    both = front.join(back, (F.col("f.session_id") == F.col("b.session_id")) & (F.col("f.item_id") == F.col("b.item_id")) & near, "leftOuter")
+    found = both.groupBy("f.event_ts", "f.event_id", "f.session_id", "f.item_id").agg(F.count("at").alias("confirmations"))
+    return found.select("event_id", "session_id", "item_id", "confirmations")
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", by: str = "anonymous_id", late: str | None = None) -> DataFrame:
+    """Visits by time: a visitor's events of which each comes less than `gap` after one before it. An extension.
+
+    late: for streams; a session is given once the watermark is past its end, and until then an event that lies between two sessions makes
+    them one. Events without a visitor or time are left out. Counts and ends combine before the shuffle.
+    """
+    rows = events.filter(F.col(by).isNotNull() & F.col("event_ts").isNotNull())
+    rows = rows.withWatermark("event_ts", late) if late else rows
+    found = rows.groupBy(F.session_window("event_ts", gap).alias("_s"), by).agg(
+        F.count(F.lit(1)).alias("events"), F.max("event_ts").alias("last_ts"), F.count_if(F.col("event_type") == "purchase").alias("purchases")
+    )
+    return found.select(by, F.col("_s.start").alias("session_start"), "last_ts", F.col("_s.end").alias("session_end"), "events", "purchases")
+
+
+#: What schema_of_variant calls the types that a field may have.
+VARIANT_KINDS = {"string": ("STRING",), "struct": ("OBJECT",)}
+
+
+def drift(records: DataFrame, schema: StructType = EVENT, raw: str = "raw_json") -> DataFrame:
+    """(path, kind, records, status): each field that the records hold against the declared schema, down to its nested fields.
+
+    status is `known`, `unknown` for a field that the schema lacks, or `wrong type` for one that typed parsing makes null or text of. A null
+    is of any type. Records that are no JSON object hold no fields. One pass and one small aggregate, whatever the fields are.
+    """
+    parsed = records.select(F.try_parse_json(raw).alias("_v"))
+    objects = parsed.filter(F.schema_of_variant("_v").startswith("OBJECT"))
+    top = objects.select(F.explode(_object_entries("_v", None)).alias("e"))
+    nested = [f.name for f in schema.fields if isinstance(f.dataType, StructType)]
+    for name in nested:
+        inner = F.try_variant_get("_v", f"$.{name}", "variant")
+        of = objects.select(inner.alias("_v")).filter(F.schema_of_variant("_v").startswith("OBJECT"))
+        top = top.unionByName(of.select(F.explode(_object_entries("_v", name)).alias("e")))
+    found = top.select("e.path", "e.kind").groupBy("path", "kind").agg(F.count("*").alias("records"))
+    declared = {p: k for f in schema.fields for p, k in [(f.name, f.dataType), *[(f"{f.name}.{g.name}", g.dataType) for g in getattr(f.dataType, "fields", [])]]}
+    status = F.when(~F.col("path").isin(*declared), "unknown").when(F.col("kind") == "VOID", "known")
+    for kind, names in VARIANT_KINDS.items():
+        of_kind = [p for p, k in declared.items() if k.typeName() == kind]
+        status = status.when(F.col("path").isin(*of_kind) & F.col("kind").isin(*names), "known")
+    return found.withColumn("status", status.otherwise("wrong type"))
+
+
+def _object_entries(value: str, under: str | None) -> Column:
+    """(path, kind) of the entries of a variant object."""
+    entries = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    path = (lambda k: F.concat(F.lit(f"{under}."), k)) if under else (lambda k: k)
+    return F.transform(entries, lambda e: F.struct(path(e["key"]).alias("path"), F.coalesce(F.regexp_replace(F.schema_of_variant(e["value"]), "[<(].*", ""), F.lit("VOID")).alias("kind")))
+
+
+def with_unknown(records: DataFrame, schema: StructType = EVENT, raw: str = "raw_json") -> DataFrame:
+    """records with `unknown`: the top-level fields that the schema lacks, as a map of variants; null where the text is no JSON object."""
+    fields = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
+    return records.withColumn("unknown", F.map_filter(fields, lambda k, _: ~k.isin(*schema.fieldNames())))
+
+
+def observed_schema(records: DataFrame, raw: str = "raw_json") -> DataFrame:
+    """One row: the schema that all records together have."""
+    return records.agg(F.schema_of_variant_agg(F.try_parse_json(raw)).alias("observed"))

@@ -402,3 +402,25 @@ SELECT f.event_id, f.session_id, f.item_id, count(b.event_id) AS confirmations F
 WHERE f.source = 'frontend' GROUP BY ALL""")
 def ext_confirmed(spark, sf_dir):
     return clicks.confirmed(clicks.valid_events(parsed_events(spark, sf_dir)))
+
+
+@query("""WITH e AS (SELECT user_id, event_type, CAST(ts AS TIMESTAMP) AS event_ts FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+m AS (SELECT *, CASE WHEN event_ts < lag(event_ts) OVER (PARTITION BY user_id ORDER BY event_ts) + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens FROM e),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY event_ts) AS k FROM m)
+SELECT user_id, min(event_ts) AS session_start, max(event_ts) AS last_ts, max(event_ts) + INTERVAL 12 HOUR AS session_end, count(*) AS events,
+       count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM s GROUP BY user_id, k""")
+def ext_sessions(spark, sf_dir):
+    return clicks.sessions(views.events(spark, sf_dir).withColumnRenamed("ts", "event_ts"), "12 hours", by="user_id")
+
+
+@query(f"""WITH raw AS ({views.EVENTS_DRIFTED}), o AS (SELECT raw_json FROM raw WHERE json_valid(raw_json) AND json_type(raw_json) = 'OBJECT'),
+f AS (SELECT k AS path, json_type(raw_json, '$.' || k) AS t FROM (SELECT raw_json, unnest(json_keys(raw_json)) AS k FROM o)
+  UNION ALL SELECT 'properties.' || k, json_type(raw_json, '$.properties.' || k)
+  FROM (SELECT raw_json, unnest(json_keys(raw_json, '$.properties')) AS k FROM o WHERE json_type(raw_json, '$.properties') = 'OBJECT')),
+k AS (SELECT path, CASE t WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'NULL' THEN 'VOID' ELSE t END AS kind, count(*) AS records FROM f GROUP BY ALL)
+SELECT path, kind, records, CASE
+  WHEN path NOT IN ('event_id', 'event_ts', 'event_type', 'source', 'user_id', 'anonymous_id', 'session_id', 'page_url', 'properties', 'properties.item_id',
+    'properties.item_title', 'properties.backend_event_name', 'properties.message') THEN 'unknown'
+  WHEN kind = 'VOID' OR kind = CASE WHEN path = 'properties' THEN 'OBJECT' ELSE 'STRING' END THEN 'known' ELSE 'wrong type' END AS status FROM k""")
+def event_drift(spark, sf_dir):
+    return clicks.drift(views.view(spark, sf_dir, views.EVENTS_DRIFTED))

@@ -11,7 +11,7 @@ from tidemark.operators.prices import (
     BAR_KEY, METRIC_KEY, bar_states, bars_of_states, clean_ticks, merge_states, metrics_since, ohlc_bars, price_metrics_sliced, with_calendar,
 )
 from tidemark.schemas import BAR_STATES, BARS, BRONZE_PRICES, METRICS, SILVER_TICKS
-from tidemark.sources import tables
+from tidemark.sources import files, tables
 
 
 @dataclass
@@ -75,8 +75,12 @@ def add_increment(spark: SparkSession, bronze: DataFrame, paths: Paths, number:
     ticks = clean_ticks(bronze).select(*SILVER_TICKS.fieldNames())
 
     def store(fresh: DataFrame) -> None:
-        states = bar_states(fresh, width).withColumn("increment", F.lit(number).cast("long"))
-        tables.overwrite(states, paths.states, ["trade_date", "increment"], partitions_only=True)
+        new = bar_states(fresh, width).withColumn("increment", F.lit(number).cast("long"))
+        total = lambda states: states.agg(F.sum("ticks")).first()[0] or 0
+        had = tables.read_or_empty(spark, paths.states, BAR_STATES).filter(F.col("increment") == number)
+        # an attempt that died while it appended to silver has stored all of its states before: what is new now is a part of them
+        if total(had) < total(new):
+            tables.overwrite(new, paths.states, ["trade_date", "increment"], partitions_only=True)
 
     tables.merge_insert_only(spark, paths.silver, ticks, ["event_id"], ["processing_date"], filters=True, first=store)
     states = tables.read_or_empty(spark, paths.states, BAR_STATES)
@@ -96,6 +100,21 @@ def run_increment(spark: SparkSession, bronze: DataFrame, paths: Paths, number:
     return tables.read_or_empty(spark, paths.metrics, METRICS).select(*METRICS.fieldNames())
 
 
+def run_new_files(spark: SparkSession, paths: Paths, width: str = "1 minute") -> DataFrame:
+    """Bring all tables up to date with the bronze files that no run has read yet; which those are is found by itself.
+
+    A ledger beside the bronze table says which files make up which increment. It is written before an increment is worked on, and a run
+    finishes what an earlier one has begun, with the same files, before it begins anything. Without new files no table is read.
+    """
+    ledger = f"{paths.bronze.rstrip('/')}.files"
+    while (found := files.next_increment(spark, paths.bronze, ledger)) is not None:
+        number, names = found
+        rows = spark.read.schema(BRONZE_PRICES).option("basePath", paths.bronze).parquet(*names)
+        run_increment(spark, rows, paths, number, width)
+        files.finish(spark, ledger, number)
+    return tables.read_or_empty(spark, paths.metrics, METRICS).select(*METRICS.fieldNames())
+
+
 def run_price_pipeline(spark: SparkSession, bronze: DataFrame | None, paths: Paths, width: str = "1 minute", since: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Append bronze rows, if any, and bring the three tables behind them up to date. Running it again changes nothing.
 

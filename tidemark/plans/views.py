@@ -46,6 +46,18 @@ UNION ALL
 SELECT concat('anon_', u), raw_json, 'user_events', CAST(n % 3 AS INT), n + 1000000, t, 0 FROM j WHERE n % 10 = 1
 """
 
+#: Events whose producers changed: a field that is new, ids that are numbers, properties that are text or hold more.
+EVENTS_DRIFTED = """
+SELECT event_id AS n, CASE WHEN event_id % 29 = 0 THEN '{bad' WHEN event_id % 31 = 0 THEN '[1,2]' ELSE concat('{"event_id":',
+    CASE WHEN event_id % 7 = 0 THEN CAST(event_id AS STRING) ELSE concat('"evt_', CAST(event_id AS STRING), '"') END,
+    ',"event_type":"', event_type, '"',
+    CASE WHEN event_id % 5 = 0 THEN ',"referrer":"mail"' WHEN event_id % 5 = 1 THEN ',"referrer":{"kind":"mail"}' ELSE '' END,
+    CASE WHEN event_id % 3 = 0 THEN ',"source":null' ELSE ',"source":"frontend"' END,
+    CASE WHEN event_id % 11 = 0 THEN ',"properties":"none"' WHEN event_id % 11 = 1 THEN ',"properties":{"item_id":7,"colour":"red"}'
+         ELSE ',"properties":{"item_id":"sku","message":"m"}' END, '}') END AS raw_json
+FROM @events
+"""
+
 QUOTES_RAW = """
 SELECT CAST(ts AS TIMESTAMP) AS ingestion_ts,
        CASE WHEN event_id % 41 = 0 THEN '{bad' WHEN event_id % 43 = 1 THEN '[1]' ELSE concat('{',
