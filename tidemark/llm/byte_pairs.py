@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.runtime import by_bytes, prepare, tuned
 
 #: Bytes of text in a block, but for a single text that is longer.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 #: A fold looks at all pieces of a word at each merge. Words of more bytes than this are merged with a heap instead, in n log n steps.
 LONG = 256
