@@ -9,7 +9,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return ""
     if hasattr(v, "isoformat"):
         return v.isoformat()[:26].replace("T00:00:00", "")
