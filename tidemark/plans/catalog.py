@@ -9,8 +9,10 @@ from tidemark.operators import checks, prices
 from tidemark.operators import events as clicks
 from tidemark.plans import views
 from tidemark.plans.price_pipeline import Paths, add_increment, run_increment, run_price_pipeline
+from tidemark.schemas import BRONZE_EVENTS
 from tidemark.session import utc, workspace
-from tidemark.sources import tables
+from tidemark.sources import compaction, tables
+from tidemark.streaming.streams import write_batch
 
 #: Clock columns are this instant, so that both sides agree.
 NOW = "2024-02-01 00:00:00"
@@ -343,6 +345,18 @@ def events_bronze(spark, sf_dir):
     return bronze_events(spark, sf_dir)
 
 
+@query(SQL["events_bronze"])
+def events_packed(spark, sf_dir):
+    """Bronze written in four batches, of which the first three are packed up to a day, cleaned, and followed by a late one."""
+    path = workspace(spark)
+    for n in range(4):
+        if n == 3:
+            compaction.pack(spark, path, BRONZE_EVENTS, 2, "event_date", "2024-01-20")
+            compaction.clean(spark, path)
+        write_batch(bronze_events(spark, sf_dir).filter(F.col("kafka_offset") % 4 == n), path, ["event_date"], n)
+    return compaction.rows(spark, path, BRONZE_EVENTS).drop("batch_id")
+
+
 @query(f"WITH {PARSED} SELECT * FROM parsed")
 def events_parsed(spark, sf_dir):
     return parsed_events(spark, sf_dir).drop("properties")

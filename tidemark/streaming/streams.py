@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tidemark.operators.events import decode_records, invalid_events, parse_events, to_bronze, valid_events
-from tidemark.schemas import AUDIT, BATCH, BRONZE_EVENTS, LOG_RECORD, PROGRESS, SILVER_EVENTS
-from tidemark.sources import key_filters, tables
+from tidemark.schemas import AUDIT, BRONZE_EVENTS, LOG_RECORD, PROGRESS, SILVER_EVENTS
+from tidemark.sources import compaction, key_filters, tables
 
 
 def kafka_options(place: str, topic: str, starting: str = "latest") -> dict[str, str]:
@@ -86,12 +86,17 @@ def visible(spark: SparkSession, path: str, schema: StructType, audit: str, quer
     """The rows of a table that whole batches have written, without batch_id: the audit table is the ledger.
 
     A batch writes several tables, and its audit row after them. Whoever reads all of them through here sees a batch in each or in none,
-    also after a crash between two writes; the number of the last whole batch prunes the partitions.
+    also after a crash between two writes; the number of the last whole batch prunes the partitions. Rows that `pack_closed` has moved are there too.
     """
-    rows = tables.read_or_empty(spark, path, StructType([*schema.fields, *BATCH.fields]))
+    rows = compaction.rows(spark, path, schema)
     return rows.filter(F.col("batch_id") <= finished(spark, audit, query)).select(*schema.fieldNames())
 
 
+def pack_closed(spark: SparkSession, path: str, schema: StructType, audit: str, query: str = "events_silver", by: str | None = "event_date", before: str | None = None) -> int:
+    """Pack the whole batches of the dates before a day into files of about one size (compaction.pack); `compaction.clean` deletes the small ones later."""
+    return compaction.pack(spark, path, schema, finished(spark, audit, query), by, before)
+
+
 def write_batch(df: DataFrame, path: str, by: list[str], batch_id: int) -> int:
     """Write a batch under its own number, and how many rows that were, as observed by the write itself.
 
@@ -130,7 +135,7 @@ def silver_batch(silver: str, quarantine: str, dedupe: str = "batch") -> Callabl
 def _unseen(spark: SparkSession, good: DataFrame, silver: str, batch_id: int) -> Iterator[DataFrame]:
     """The events whose ids no earlier batch has written. Only dates that may hold them are read; the ids are remembered before they are
     written, so that a crash in between leaves an id too many, which costs a look, and none too few."""
-    old = tables.read_or_empty(spark, silver, StructType([*SILVER_EVENTS.fields, *BATCH.fields])).filter(F.col("batch_id") < batch_id)
+    old = compaction.rows(spark, silver, SILVER_EVENTS).filter(F.col("batch_id") < batch_id)
     with key_filters.unseen(old, good, silver, ["event_id"], "event_date") as fresh:
         key_filters.remember(good, silver, ["event_id"], "event_date", batch_id)
         yield fresh
