@@ -167,30 +167,30 @@ LOOKBACK = 60
 
 
 def metrics_since(bars: DataFrame, changed: DataFrame, z_threshold: float = 3.0) -> DataFrame:
-    """The metrics that a change of bars can have altered: for each series those from its first changed bar on.
+    """The metrics that a change of bars can have altered: for each series those from its first changed bar on, computed by days.
 
-    changed: SERIES and bar_start_ts of the bars that were written. The 60 bars before the first change are read as well, and
-    nothing older; a late bar shifts the metrics of up to 60 later bars, all of which are given again.
+    changed: SERIES and bar_start_ts of the bars that were written. Before the first changed day only the days are read that hold the 60 bars
+    before it; a late bar shifts the metrics of up to 60 later bars, all of which are given again.
     """
     first = changed.groupBy(*SERIES).agg(F.min("bar_start_ts").alias("_from"))
-    rows = bars.join(first, SERIES)
-    before = Window.partitionBy(*SERIES).orderBy(F.desc("bar_start_ts"))
-    old = rows.filter("bar_start_ts < _from").withColumn("_n", F.row_number().over(before)).filter(F.col("_n") <= LOOKBACK + 1).drop("_n")
-    metrics = price_metrics(old.unionByName(rows.filter("bar_start_ts >= _from")).select(*bars.columns), z_threshold)
-    return metrics.join(first, SERIES).filter("metric_ts >= _from").drop("_from")
+    metrics = price_metrics_sliced(bars, z_threshold, first)
+    return metrics.join(first, SERIES).filter("metric_ts >= _from").select(*METRICS.fieldNames())
 
 
-def price_metrics_sliced(bars: DataFrame, z_threshold: float = 3.0) -> DataFrame:
+def price_metrics_sliced(bars: DataFrame, z_threshold: float = 3.0, first: DataFrame | None = None) -> DataFrame:
     """The same rows as price_metrics, with each day of a series computed by itself: for series too long for one task.
 
     A day needs the 60 bars before it. As each day that is there has a bar at least, they lie in the 60 days before it that are
-    there; counts of bars by day tell in which of them. Those days' bars are read once more and dropped at the end.
+    there; counts of bars by day tell in which of them. Those days' bars are read once more and dropped at the end. first: SERIES and a
+    time _from; only series that it has are computed, from the day of that time on.
     """
     days = bars.groupBy(*SERIES, "trade_date").agg(F.count("*").alias("_bars"))
     order = Window.partitionBy(*SERIES).orderBy("trade_date")
     days = days.withColumn("_through", F.sum("_bars").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     before = F.collect_list(F.struct("trade_date", "_through")).over(order.rowsBetween(-LOOKBACK, -1))
     days = days.withColumn("_days", F.filter(before, lambda d: d["_through"] > F.col("_through") - F.col("_bars") - LOOKBACK))
+    if first is not None:
+        days = days.join(first, SERIES).filter(F.col("trade_date") >= F.to_date("_from"))
     own = F.array(F.col("trade_date"))
     days = days.select(*SERIES, F.col("trade_date").alias("_slice"), F.explode(F.concat(own, F.col("_days.trade_date"))).alias("trade_date"))
     metrics = price_metrics(bars.join(days, [*SERIES, "trade_date"]), z_threshold, by=("_slice",))

@@ -12,6 +12,7 @@ from tidemark.plans.price_pipeline import Paths, add_increment, run_increment, r
 from tidemark.schemas import BRONZE_EVENTS
 from tidemark.session import utc, workspace
 from tidemark.sources import compaction, tables
+from tidemark.sources.log_files import log_lines
 from tidemark.streaming.streams import write_batch
 
 #: Clock columns are this instant, so that both sides agree.
@@ -389,6 +390,14 @@ def jsonl_tail(spark, sf_dir):
     return clicks.tail(views.view(spark, sf_dir, views.LINES_RAW))
 
 
+@query(f"WITH l AS ({views.LINES_RAW}) SELECT trim(value) AS value, NOT json_valid(value) AS malformed FROM l WHERE trim(value) <> ''")
+def log_files(spark, sf_dir):
+    """The lines as a log on disk, read back in ranges of 64 KB."""
+    path = workspace(spark)
+    views.view(spark, sf_dir, views.LINES_RAW).select("value").write.text(path)
+    return clicks.split_lines(log_lines(spark, path, range_bytes=1 << 16)).select("value", "malformed")
+
+
 @query("""SELECT CASE event_type WHEN 'view' THEN 'navigation' WHEN 'click' THEN 'discovery' WHEN 'purchase' THEN 'checkout'
   WHEN 'signup' THEN 'post_purchase' WHEN 'error' THEN 'post_purchase' ELSE 'other' END AS stage, count(*) AS events, count(DISTINCT user_id) AS visitors
 FROM events GROUP BY 1""")
