@@ -217,6 +217,21 @@ def test_toxicity_on_all_documents(spark, labels):
     assert np.mean([t for y, t in told if y == 1]) > 0.9 and np.mean([t for y, t in told if y == 0]) < 0.01
 
 
+def test_toxicity_on_rows_it_was_not_fitted_on(spark):
+    """A third of the labelled rows, by the checksum of their ids, is kept from the fit on 2636. (At sf0.01 the fit has 286 rows, and finds 15 of 18.)"""
+    folder = SF.replace("0.01", "0.1")
+    told = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic is not null")
+    held = {r.doc_id: r.toxic for r in told.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    given = told.filter("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1")
+    got = {r.id: r for r in tox.score_toxicity(spark.read.parquet(f"{folder}/documents.parquet"), given).collect() if r.id in held}
+    assert len(got) == len(held) > 1000
+    bad, fine = ([got[i] for i in held if held[i] == y] for y in (1, 0))
+    a, b = (np.array([r.severity for r in rows]) for rows in (bad, fine))
+    auc = np.mean((a[:, None] > b) + 0.5 * (a[:, None] == b))
+    figures = {"found": np.mean([r.toxic for r in bad]), "wrong": np.mean([r.toxic for r in fine]), "auc": auc}
+    assert figures["found"] > 0.9 and figures["wrong"] < 0.02 and figures["auc"] > 0.97, figures
+
+
 def test_words_of_toxicity_split_at_marks():
     a, b = tox.inputs(pa.array(["Bad!!word bad-WORD", "bad word bad word"])), None
     b = a.take(np.array([1]))
