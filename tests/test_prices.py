@@ -68,6 +68,18 @@ def test_metrics_since_equals_full(spark):
     assert near(part) == near(full) and part.count() == 50
 
 
+def test_metrics_since_over_days(spark):
+    """Days of few bars, so that the 60 bars before a day lie in several; another series has no change."""
+    table = bars(spark, [float(10 + (i * 37) % 11) for i in range(200)], [60 * i for i in range(200)])
+    table = table.unionByName(table.withColumn("symbol", F.lit("other")))
+    assert table.select("trade_date").distinct().count() > 5
+    since = "TIMESTAMP '2024-01-06 05:00:00'"
+    part = prices.metrics_since(table, table.filter(f"bar_start_ts >= {since} and symbol <> 'other'"))
+    full = prices.price_metrics(table).filter(f"metric_ts >= {since} and symbol <> 'other'")
+    near = lambda df: [[round(v, 9) if isinstance(v, float) else v for v in r] for r in df.orderBy("metric_ts").collect()]
+    assert near(part) == near(full) and part.count() > 60 and part.columns == full.columns
+
+
 def test_quotes(spark):
     rows = [('{"updatedAt":"2024-01-01T00:00:00Z","price":10.5}',), ('{"price":10.5, "updatedAt":"2024-01-01T00:00:00Z"}',), ("[1]",), (None,), ("{bad",), ('{"symbol":"","price":"x"}',)]
     got = prices.normalize_quotes(spark.createDataFrame(rows, "payload string").withColumn("ingestion_ts", F.current_timestamp()), "s", "p").collect()
