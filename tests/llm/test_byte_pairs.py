@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -86,3 +87,36 @@ def test_query(spark, sf, library):
 def test_nothing_is_shuffled(spark, sf):
     plan = op13_byte_pairs(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "aggregate(sequence" in plan
+
+
+def test_words_of_earlier_blocks_and_known_words_are_not_folded_again(spark, ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "BLOCK", 64)
+    texts = ["zyxqv wvutq " * 5, "zyxqv again wvutq " * 5, "zyxqv new"]
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2], pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    slices = [batch.slice(i, 1) for i in range(3)]
+    rows = list(byte_pairs._blocks(ranks, public_tokenizers.PATTERN, pa.int64(), byte_pairs.NOTHING)(iter(slices)))
+    assert [(r.column("first")[0].as_py(), len(r.column("words")[0])) for r in rows] == [(0, 4), (4, 1), (5, 1)]
+    docs = frame(spark, texts)
+    known = byte_pairs.sample_words(docs, ranks, public_tokenizers.PATTERN)
+    rows = list(byte_pairs._blocks(ranks, public_tokenizers.PATTERN, pa.int64(), known)(iter(slices)))
+    assert [len(r.column("words")[0]) for r in rows] == [0, 0, 0]
+    got = encode(docs, ranks, public_tokenizers.PATTERN, known=known).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_words_are_forgotten_and_numbered_anew(spark, ranks, library, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "BLOCK", 32)
+    monkeypatch.setattr(byte_pairs, "TABLE", 3)
+    texts = [f"zyxqv wvutq{'abcdefgh'[i % 8]} qqkj{'xyz'[i % 3]}" for i in range(24)]
+    docs = frame(spark, texts).coalesce(1)
+    known = byte_pairs.sample_words(frame(spark, texts[:2]), ranks, public_tokenizers.PATTERN)
+    for more in (byte_pairs.NOTHING, known):
+        got = encode(docs, ranks, public_tokenizers.PATTERN, known=more).collect()
+        assert {r.doc_id: r.ids for r in got} == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_ranks_beyond_the_letters_of_three_bytes(spark, ranks, library):
+    wide = {token: rank + 20_000 for token, rank in ranks.items()}
+    texts = [t for t in HARD if t]
+    got = encode(frame(spark, texts), wide, public_tokenizers.PATTERN).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: [x + 20_000 for x in library.encode_ordinary(t)] for i, t in enumerate(texts)}
