@@ -256,7 +256,7 @@ def _blocks(ranks: dict[bytes, int], pattern: str, kind: pa.DataType, known: Kno
     return run
 
 
-def _assembled(letters: Letters, known: Known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _assembled(letters: Letters, known_sizes: np.ndarray, known_ids: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row for each document of the blocks: the ids of its words, one after the other. Blocks come in the order in which they were made."""
 
     def lists(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -265,13 +265,13 @@ def _assembled(letters: Letters, known: Known) -> Callable[[Iterator[pa.RecordBa
         return at - at[0], array.flatten().to_numpy(zero_copy_only=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, ids = [known.sizes], [known.ids]
+        sizes, ids = [known_sizes], [known_ids]
         for batch in batches:
             for i in range(batch.num_rows):
                 docs, texts, encoded = (batch.column(c)[i].values for c in range(3))
                 first = batch.column(3)[i].as_py()
-                if first == len(known.words):
-                    sizes, ids = [known.sizes], [known.ids]
+                if first == len(known_sizes):
+                    sizes, ids = [known_sizes], [known_ids]
                 if first != sum(map(len, sizes)):
                     raise ValueError("blocks of words are not in the order in which they were made")
                 for held, more in zip((sizes, ids), letters.ranks(encoded)):
@@ -321,7 +321,7 @@ def sample_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col:
                 yield pa.RecordBatch.from_arrays([pa.array(lot, pa.string()), unfolded(lot)], ["word", "open"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, 1 << 14).alias("text"))
-    found = bounded_sample(texts, SAMPLE, 13).select("text").mapInArrow(distinct, "word string, open struct<s: string, f: string>")
+    found = bounded_sample(texts, SAMPLE, 13).select("text").repartition(SPREAD).mapInArrow(distinct, "word string, open struct<s: string, f: string>")
     one = materialize(found.groupBy("word").agg(F.first("open").alias("open")).limit(WORDS).repartition(SPREAD, "word"))
     rows = one.select("word", fold(F.col("open"), _merged(ranks), chr(letters.none)).alias("ids")).toArrow()
     discard(one)
@@ -351,15 +351,15 @@ def encode(
     letters, merged = Letters(ranks), _merged(ranks)
     folded = F.transform("words", lambda w: fold(w, merged, chr(letters.none)))
     # no shuffle may come between the two steps in Python, as the second counts on from block to block
-    return blocks.select("docs", "texts", folded.alias("encoded"), "first").mapInArrow(_assembled(letters, known), f"doc_id {kind}, ids array<int>")
+    return blocks.select("docs", "texts", folded.alias("encoded"), "first").mapInArrow(_assembled(letters, known.sizes, known.ids), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
     """encoded with the column `bytes`: the pieces of its ids, concatenated. No ids: no bytes. Null ids, or an id without a piece: null."""
     pieces = piece_literal(ranks)
+    # get is null for null, negative and too large ids; unhex is null if there is a mark that is no digit
     joined = let(pieces, lambda all_: F.transform(F.col(ids_col), lambda i: F.get(all_, i)))
-    # get is null for null, negative and too large ids
-    return encoded.withColumn("bytes", let(joined, lambda x: F.when(~F.exists(x, lambda p: p.isNull()), F.unhex(F.array_join(x, "")))))
+    return encoded.withColumn("bytes", F.unhex(F.array_join(joined, "", "--")))
 
 
 def op13_byte_pairs(spark, sf_dir: str) -> DataFrame:
